@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from frameyard.llm.common import table
 from frameyard.llm.decontam import decontaminate
+from frameyard.llm.jaccard_join import jaccard_join
 from frameyard.llm.license_scan import license_scan
 from frameyard.llm.packing import pack_documents
 from frameyard.llm.secret_scan import secret_scan
 from frameyard.llm.token_counts import token_counts
+from frameyard.llm.toxicity import score_toxicity
 from frameyard.llm.url_filter import url_filter
 
 
@@ -21,10 +23,18 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -37,7 +47,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op3_best_fit_packing, op5_secret_scan, op7_token_counts, op8_benchmark_decontamination, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op3_best_fit_packing, op4_toxicity, op5_secret_scan, op6_ngram_jaccard_join, op7_token_counts, op8_benchmark_decontamination, op10_url_filter)}
 
 #: Verdicts of the method itself: allow where no rule fits, block without a host.
 OP10_SQL = """
