@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from frameyard.llm.common import table
 from frameyard.llm.decontam import decontaminate
+from frameyard.llm.embedding_dedup import near_duplicates
 from frameyard.llm.jaccard_join import jaccard_join
 from frameyard.llm.license_scan import license_scan
 from frameyard.llm.packing import pack_documents
@@ -19,6 +20,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -47,7 +52,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op3_best_fit_packing, op4_toxicity, op5_secret_scan, op6_ngram_jaccard_join, op7_token_counts, op8_benchmark_decontamination, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_embedding_near_dedup, op3_best_fit_packing, op4_toxicity, op5_secret_scan, op6_ngram_jaccard_join, op7_token_counts, op8_benchmark_decontamination, op10_url_filter)}
 
 #: Verdicts of the method itself: allow where no rule fits, block without a host.
 OP10_SQL = """
