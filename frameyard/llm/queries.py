@@ -11,6 +11,7 @@ from frameyard.llm.jaccard_join import jaccard_join
 from frameyard.llm.license_scan import license_scan
 from frameyard.llm.packing import pack_documents
 from frameyard.llm.secret_scan import secret_scan
+from frameyard.llm.suffix_dedup import suffix_dedup
 from frameyard.llm.token_counts import token_counts
 from frameyard.llm.toxicity import score_toxicity
 from frameyard.llm.url_filter import url_filter
@@ -48,11 +49,15 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_embedding_near_dedup, op3_best_fit_packing, op4_toxicity, op5_secret_scan, op6_ngram_jaccard_join, op7_token_counts, op8_benchmark_decontamination, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_embedding_near_dedup, op3_best_fit_packing, op4_toxicity, op5_secret_scan, op6_ngram_jaccard_join, op7_token_counts, op8_benchmark_decontamination, op9_suffix_array_dedup, op10_url_filter)}
 
 #: Verdicts of the method itself: allow where no rule fits, block without a host.
 OP10_SQL = """

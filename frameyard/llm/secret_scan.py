@@ -154,10 +154,11 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
     return F.coalesce(F.aggregate(steps, seed, step)["out"], empty)
 
 
-def find_spans(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs' rows as doc_id, text and spans: array<struct<start, kind, end>> sorted by start, then kind's number."""
+def find_spans(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """docs' rows as doc_id, text and spans: array<struct<start, kind, end>> sorted by start, then kind's number.
+    With carry, docs' own columns come along in the struct row."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(*_key(id_col, text), text.alias("text"))
+    rows = docs.select(*_key(id_col, text), text.alias("text"), *([F.struct(*docs.columns).alias("row")] if carry else []))
     found = candidates(docs, rules, id_col, text)
     if found is None:
         rows = rows.withColumn("_rules", F.array().cast("array<int>"))
@@ -168,7 +169,7 @@ def find_spans(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: s
     for n, r in enumerate(rules):
         spans = _spans(F.col("text"), r, n)
         parts.append(F.when(F.array_contains("_rules", n), spans).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>")) if trigram_query(r.regex) else spans)
-    return rows.select("doc_id", "text", F.sort_array(F.concat(*parts)).alias("spans"))
+    return rows.select("doc_id", "text", F.sort_array(F.concat(*parts)).alias("spans"), *(["row"] if carry else []))
 
 
 def _of_kind(k: int) -> Column:
@@ -196,18 +197,24 @@ def secret_scan(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col:
     )
 
 
-def mask_secrets(docs: DataFrame, rules=RULES, mask: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Adds masked to (doc_id, text, spans): the text with each stretch of overlapping spans replaced by mask. Texts
-    without spans are untouched; null becomes the empty string."""
-    found = find_spans(docs, rules, id_col, text_col)
+def mask_secrets(docs: DataFrame, rules=RULES, mask: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """docs with each stretch of overlapping spans of its text replaced by mask, all its columns kept; length_col, if
+    given, gets the new length of a masked text. Rows without spans, null texts too, are as they were."""
+    found = find_spans(docs, rules, id_col, text_col, carry=True)
     seed = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc, s):
-        behind = s["start"] >= acc["at"]
         piece = F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"])
-        out = F.when(behind, F.concat(acc["out"], F.array(piece, F.lit(mask)))).otherwise(acc["out"])
+        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(piece, F.lit(mask)))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
 
     walked = F.aggregate("spans", seed, step)
     tail = F.substring(F.col("text"), walked["at"] + 1, F.length("text"))
-    return found.withColumn("masked", F.when(F.size("spans") == 0, F.col("text")).otherwise(F.concat(F.array_join(walked["out"], ""), tail)))
+    hit = F.size("spans") > 0
+    out = found.withColumn("masked", F.when(hit, F.concat(F.array_join(walked["out"], ""), tail)))
+    cols = []
+    for c, kind in docs.dtypes:
+        old = F.col("row")[c]
+        new = F.col("masked") if c == text_col else F.length("masked") if c == length_col else None
+        cols.append((old if new is None else F.when(hit, new.cast(kind)).otherwise(old)).alias(c))
+    return out.select(*cols)
