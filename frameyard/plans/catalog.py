@@ -1,4 +1,8 @@
 """All registered queries of the dataset-preparation operators."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from __future__ import annotations
+
+from frameyard.plans import annotations, gates, selection  # noqa: F401  they register their queries
+from frameyard.plans.bind import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
