@@ -27,7 +27,7 @@ def decode_images(spark: SparkSession, root: str) -> DataFrame:
 
 def scan_annotations(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
     """S3: one row per JSON file: path, stem, raw, and whether it is malformed."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.json").text(root)
+    files = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.json").text(root, wholetext=True)
     rows = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
     return rows.select("path", stem("path").alias("stem"), "raw", F.expr("try_parse_json(raw) IS NULL").alias("malformed"))
 
@@ -61,7 +61,7 @@ def scan_stems(spark: SparkSession, root: str, ext: str, recursive: bool = True)
 
 def read_priors(spark: SparkSession, path: str) -> DataFrame:
     """(label, x_norm, y_norm, confidence) of a JSON object; entries without numbers are skipped, confidence 0.8 by default."""
-    raw = spark.read.option("wholetext", True).text(path).selectExpr("try_parse_json(value) AS v")
+    raw = spark.read.text(path, wholetext=True).selectExpr("try_parse_json(value) AS v")
     rows = spark.sql("SELECT key AS label, value AS e FROM {raw}, LATERAL variant_explode(v)", raw=raw)
     get = lambda k: F.expr(f"try_variant_get(e, '$.{k}', 'double')")
     return rows.select("label", get("x_norm").alias("x_norm"), get("y_norm").alias("y_norm"), F.coalesce(get("confidence"), F.lit(0.8)).alias("confidence")).where("x_norm IS NOT NULL AND y_norm IS NOT NULL")
