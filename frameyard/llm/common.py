@@ -2,57 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that may be broadcast when a row holds only a few numbers (about 16 MB).
-BROADCAST_ROWS = 400_000
+from frameyard.functions.durable import BROADCAST_ROWS, bounded_broadcast, materialize, release, shared_dir
+
+__all__ = ["BROADCAST_ROWS", "bounded_broadcast", "connected_components", "materialize", "release", "shared_dir", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; only where the session names none, one of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (found or "/tmp/checkpoints").rstrip("/")
-
-
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def materialize(df: DataFrame, parts: int | None = None) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: later steps never recompute it, whichever
-    executor is lost. The files go when the session ends, or earlier by release()."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/frameyard-{uuid.uuid4().hex}"
-    (df.coalesce(parts) if parts else df).write.parquet(path)
-    fs, p = _fs_path(spark, path)
-    fs.deleteOnExit(p)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._frameyard_path = path
-    return out
-
-
-def release(df: DataFrame) -> None:
-    """Delete a materialized table that no later step reads."""
-    if path := getattr(df, "_frameyard_path", None):
-        fs, p = _fs_path(df.sparkSession, path)
-        fs.delete(p, True)
-
-
-def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, counted: int | None = None) -> DataFrame:
-    """Hint a broadcast only if df (materialized, so that counting is cheap) has few rows; else Spark's own joins."""
-    n = df.count() if counted is None else counted
-    return F.broadcast(df) if n <= rows else df
-
-
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Components of an undirected graph given as rows (u, v): returns (node, component) with the smallest node of
     each component, for the nodes that have an edge. Alternating large-star and small-star rounds; each is an
