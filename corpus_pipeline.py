@@ -19,7 +19,7 @@ from frameyard.llm.toxicity import score_toxicity
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """docs whose doc_id is not among the rejected ids; columns and repeated rows stay as they are."""
     gone = bounded_broadcast(materialize(rejected.select(F.col("doc_id").alias("_gone")).distinct()))
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
