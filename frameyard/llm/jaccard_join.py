@@ -1,100 +1,84 @@
 """N-gram Jaccard join by a blocked sparse matrix product.
 
-Texts with equal sets of n-grams are one row of the incidence matrix. A size-derived bound keeps only the columns
-that a pair above the threshold must share: the rarest of each row (rarity by a fixed-size count sketch over all
-texts, so that the order is the same everywhere). Rows that share such a column fall into one candidate group; the
-groups are cut into blocks of rows, and each block multiplies its incidence matrix with itself, a stretch of columns
-at a time, adding up overlap counts and discarding pairs that can no longer reach the bound given by their sizes. A
-block returns a spanning forest of its links, not its pairs. Groups of many blocks share pivots; after that only
-blocks with rows of different components are laid against each other.
+Texts with equal sets of n-grams are one row of the incidence matrix. The sizes of two sets bound by how many n-grams
+they may differ and still link. N-grams are dealt into one class more than that, by hash, so that in some class a
+linked pair has equal n-grams: equal digests of a class bring rows into one candidate group. The groups are cut into
+blocks of rows, and each block multiplies its incidence matrix with itself, a stretch of columns at a time, adding up
+overlap counts and discarding pairs that can no longer reach the bound given by their sizes. A block returns a spanning
+forest of its links, not its pairs. Groups of many blocks share pivots; after that only blocks with rows of different
+components are laid against each other.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from frameyard.llm.common import bounded_broadcast, connected_components, materialize, release
-from frameyard.llm.shingles import shingle_set
+from frameyard.llm.common import bounded_broadcast, connected_components, materialize
+from frameyard.llm.shingles import mix, shingle_set
 
-#: Counters of the sketch (a power of two) and the rows that it is dealt in.
-COUNTERS, SLICES = 1 << 20, 32
 #: Rows of a block, n-grams of a block, pivots that the blocks of a group share, columns multiplied at a time.
 BLOCK_ROWS, BLOCK_GRAMS, PIVOTS, COLUMNS = 512, 600_000, 32, 4096
 
 
-def _cells(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(44)).astype("i8")
-
-
-def prefix_length(n: int, percent: int) -> int:
-    """Two sets of which one has n members and whose Jaccard index is percent / 100 or more share one of the first so many."""
-    return n - -(-n * percent // 100) + 1
+def size_buckets(percent: int, upto: int = 1 << 40) -> list[int]:
+    """First sizes of buckets so wide that linked sets lie in one bucket or in two neighbours."""
+    edges = [1]
+    while edges[-1] <= upto:
+        edges.append(edges[-1] * 100 // percent + 1)
+    return edges
+
+
+def class_digests(h: np.ndarray, percent: int, edges: list[int]) -> np.ndarray:
+    """Digests of a set's classes, for its size bucket and the next one."""
+    own = bisect_right(edges, len(h)) - 1
+    out = []
+    for bucket in (own, own + 1):
+        differ = 2 * (edges[bucket + 1] - 1) * (100 - percent) // (100 + percent)  # at most, between linked sets
+        cls = (h % np.uint64(differ + 1)).astype("i8")
+        order = np.argsort(cls, kind="stable")
+        first = np.flatnonzero(np.diff(cls[order], prepend=-1))
+        total = np.add.reduceat(mix(h)[order], first)
+        salt = np.uint64(bucket) << np.uint64(40)
+        out.append(mix(total ^ mix(salt + cls[order][first].astype("u8"))))
+        # classes without members are equal too; a set with one says so once for each
+        empty = np.setdiff1d(np.arange(differ + 1), cls).astype("u8")
+        out.append(mix(mix(salt + empty) + np.uint64(1)))
+    return np.concatenate(out)
 
 
 def _profile(docs: DataFrame, n_gram: int) -> DataFrame:
-    """One pass: rows (doc_id, k, n) of texts, and rows (slice, counts) of each task's sketch."""
+    """(doc_id, k, n): a digest of each text's set, and its size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "k", "n", "slice", "counts"]
-        count = np.zeros(COUNTERS, "i4")
-        seen = False
         for batch in batches:
-            k, n = [], []
-            for t in batch.column(1):
-                h = shingle_set(t.as_py(), n_gram)
-                k.append(xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63))
-                n.append(len(h))
-                if len(h):
-                    np.add.at(count, _cells(h), 1)
-                    seen = True
-            m = len(k)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(k, pa.int64()), pa.array(n, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
-        if seen:
-            parts = [p.tobytes() for p in np.split(count, SLICES)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(SLICES, pa.int64()), pa.nulls(SLICES, pa.int64()), pa.nulls(SLICES, pa.int32()), pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names=names
-            )
-
-    return docs.mapInArrow(run, "doc_id long, k long, n int, slice int, counts binary")
-
-
-def _sketch(parts: DataFrame) -> np.ndarray:
-    """The summed sketch: a fixed size, whatever the input."""
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(COUNTERS // SLICES, "i8")
-        for c in pdf["counts"]:
-            total += np.frombuffer(c, "i4")
-        return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "counts": [np.minimum(total, 2**31 - 1).astype("i4").tobytes()]})
+            sets = [shingle_set(t.as_py(), n_gram) for t in batch.column(1)]
+            k = [xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63) for h in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(k, pa.int64()), pa.array([len(h) for h in sets], pa.int32())], names=["doc_id", "k", "n"])
 
-    out = np.zeros((SLICES, COUNTERS // SLICES), "i4")
-    for r in parts.groupBy("slice").applyInPandas(add, "slice int, counts binary").collect():
-        out[r["slice"]] = np.frombuffer(r["counts"], "i4")
-    return out.reshape(-1)
+    return docs.mapInArrow(run, "doc_id long, k long, n int")
 
 
-def _prefixes(docs: DataFrame, sketch, n_gram: int, percent: int) -> DataFrame:
-    """(h, k): the rarest n-grams of each set, so many that every pair above the threshold shares one."""
+def _classes(docs: DataFrame, n_gram: int, percent: int) -> DataFrame:
+    """(h, k): the class digests of each text's set."""
+    edges = size_buckets(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = sketch.value
         for batch in batches:
-            hs, ks = [np.zeros(0, "i8")], [np.zeros(0, "i8")]
+            hs, ks = [np.zeros(0, "u8")], [np.zeros(0, "i8")]
             for t in batch.column(1):
                 h = shingle_set(t.as_py(), n_gram)
                 if len(h):
-                    p = prefix_length(len(h), percent)
-                    first = h[np.lexsort((h, count[_cells(h)]))[:p]]
-                    hs.append(first.view("i8"))
-                    ks.append(np.full(p, xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63), "i8"))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), pa.array(np.concatenate(ks))], names=["h", "k"])
+                    hs.append(class_digests(h, percent, edges))
+                    ks.append(np.full(len(hs[-1]), xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63), "i8"))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view("i8")), pa.array(np.concatenate(ks))], names=["h", "k"])
 
     return docs.mapInArrow(run, "h long, k long")
 
@@ -145,9 +129,14 @@ def _multiply(rows: DataFrame, keys: list[str], n_gram: int, percent: int, sided
     """Spanning forests (u, v) of the links in each block; rows: keys, k, text, and side if sided."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("k")
-        k = pdf["k"].to_numpy()
-        label = block_links([shingle_set(t, n_gram) for t in pdf["text"]], pdf["side"].to_numpy() if sided else None, percent)
+        # texts came by id; of an id with several texts only the one whose digest is k stands for k
+        by = {}
+        for i, (k, t) in enumerate(zip(pdf["k"].tolist(), pdf["text"], strict=True)):
+            if k not in by and xxhash.xxh3_64_intdigest((h := shingle_set(t, n_gram)).tobytes()) - (1 << 63) == k:
+                by[k] = i, h
+        k = np.array(list(by), "i8")
+        rows = [i for i, _ in by.values()]
+        label = block_links([h for _, h in by.values()], pdf["side"].to_numpy()[rows] if sided else None, percent) if rows else np.arange(0)
         on = label != np.arange(len(k))
         return pd.DataFrame({"u": k[on], "v": k[label[on]]})
 
@@ -166,8 +155,8 @@ def _links(members: DataFrame, texts: DataFrame, n_gram: int, percent: int) -> D
     dealt = placed.select("comp", "k", "doc_id", "blocks", F.explode(homes).alias("block"))
 
     def with_text(rows: DataFrame) -> DataFrame:
-        held = bounded_broadcast(materialize(rows))
-        return texts.join(held, "doc_id")
+        held = bounded_broadcast(materialize(rows.withColumnRenamed("doc_id", "_id")))
+        return texts.join(held, F.col("doc_id").eqNullSafe(F.col("_id")))
 
     first = materialize(_multiply(with_text(dealt), ["comp", "block"], n_gram, percent, sided=False))
     big = placed.where(many)
@@ -209,19 +198,14 @@ def jaccard_join(docs: DataFrame, n_gram: int = 3, percent: int = 90, id_col: st
     n_gram words has one, its whole sequence. Repeated rows are in one component; a null doc_id takes part and is
     never the smallest; alone it has a null component. Other columns are not read. No rows: no rows.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    profile = materialize(_profile(texts, n_gram))
-    sketch = spark.sparkContext.broadcast(_sketch(profile.where("slice is not null")))
-    rows = profile.where("slice is null").select("doc_id", "k", "n")
-    grams = materialize(_prefixes(texts, sketch, n_gram, percent))
-    # columns of several sets, each with the least of them
-    columns = materialize(grams.groupBy("h").agg(F.min("k").alias("v"), F.max("k").alias("last")).where("v < last").select("h", "v"))
-    star = grams.join(bounded_broadcast(columns), "h").where("k <> v").select(F.col("k").alias("u"), "v").distinct()
+    rows = materialize(_profile(texts, n_gram))
+    # within the rows of a digest each set is tied to the least; the window spills and needs no copy of the rows
+    least = F.min("k").over(Window.partitionBy("h"))
+    star = _classes(texts, n_gram, percent).select("k", least.alias("v")).where("k <> v").select(F.col("k").alias("u"), "v")
     groups = connected_components(star)
-    release(grams)
     sets = rows.where("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("doc_id"))
-    members = materialize(sets.join(groups.select(F.col("node").alias("k"), F.col("component").alias("comp")), "k").where("doc_id is not null"))
+    members = materialize(sets.join(groups.select(F.col("node").alias("k"), F.col("component").alias("comp")), "k"))
     links = _links(members, texts, n_gram, percent)
     roots = connected_components(links)
     classes = sets.join(roots.select(F.col("node").alias("k"), F.col("component").alias("root")), "k", "left").withColumn("root", F.coalesce("root", "k"))

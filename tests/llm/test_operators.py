@@ -94,6 +94,15 @@ def test_jaccard_join(spark):
     assert got.count((5, 5)) == 2 and (None, 5) in got
 
 
+def test_jaccard_odd_ids(spark):
+    """Several texts under one id, and a text without an id, link by their own words."""
+    w = [f"w{i}" for i in range(80)]
+    a, near, other = " ".join(w), " ".join(w[:-1]), " ".join(reversed(w))
+    rows = [(5, a), (5, other), (7, near), (None, " ".join(w[1:])), (9, " ".join(list(reversed(w))[:-1]))]
+    got = by_id(jaccard_join(docs(spark, rows)), "component_id")
+    assert got == [(5, 5), (5, 5), (7, 5), (9, 5), (None, 5)]
+
+
 def test_jaccard_blocks(spark, monkeypatch):
     from frameyard.llm import jaccard_join as j
 
