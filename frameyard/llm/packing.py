@@ -24,7 +24,7 @@ from frameyard.llm.common import materialize
 PARTITION_PIECES = 20_000
 LEAST_PARTITION = 2_000
 #: Distinct chunks whose ids a worker keeps.
-CACHE = 800_000
+CACHE = 300_000
 #: Latin letters, then ASCII marks other than the apostrophe: the two parts are never one token.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įıĲ-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 _SHARED: dict[str, ChunkEncoder] = {}
