@@ -44,6 +44,11 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tok, self.cache, self.chunks, self.words = Tokenizer.from_file(path), cache, {}, {}
+        self.model = self.tok.model
+        # the library's byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = [b for b in range(256) if b not in plain]
+        self.alphabet = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(other)}
 
     @classmethod
     def shared(cls, path: str) -> ChunkEncoder:
@@ -54,6 +59,11 @@ class ChunkEncoder:
     def _library(self, parts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(parts, add_special_tokens=False)]
 
+    def _plain(self, part: str) -> bytes:
+        """Ids of lower-case Latin letters or of ASCII marks: one piece before BPE, so that the model itself is asked."""
+        spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
+        return np.asarray([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+
     def _fill(self, chunks: set[bytes]) -> None:
         if len(self.chunks) + len(chunks) > self.cache:
             self.chunks.clear()
@@ -61,8 +71,8 @@ class ChunkEncoder:
             self.words.clear()
         texts = {c: c.decode("utf-8", "replace") for c in chunks}
         plain = {c: (m[1].lower(), m[2]) for c, t in texts.items() if (m := PLAIN.fullmatch(t))}
-        need = sorted({p for ps in plain.values() for p in ps if p and p not in self.words})
-        self.words.update(zip(need, self._library(need), strict=True))
+        for p in {p for ps in plain.values() for p in ps if p and p not in self.words}:
+            self.words[p] = self._plain(p)
         for c, (word, marks) in plain.items():
             self.chunks[c] = self.words[word] + (self.words[marks] if marks else b"")
         rest = [c for c in chunks if c not in plain]
