@@ -106,6 +106,7 @@ def block_links(sets: list[np.ndarray], left: np.ndarray | None, percent: int) -
     row, column = row[order], column[order]
     rest = np.bincount(row, minlength=m).astype("i8")  # shared n-grams of each row not yet multiplied
     overlap = np.zeros((m, m), "f4" if m * int(size.max(initial=0)) < 1 << 24 else "f8")
+    alive &= np.minimum(rest[:, None], rest[None, :]) >= bound  # rows of a block may share no column at all
     n_columns = int(shared.sum())
     width = max(64, min(COLUMNS, (1 << 22) // m))
     for at in range(0, n_columns, width):

@@ -119,6 +119,20 @@ def test_jaccard_blocks(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join(docs(spark, rows)).collect()} == brute.jaccard(rows)
 
 
+def test_jaccard_nothing_in_common(spark):
+    """Candidates that share no n-gram do not link, whatever their sizes."""
+    from frameyard.llm.jaccard_join import block_links
+
+    apart = [np.arange(i * 100, i * 100 + 20, dtype="u8") for i in range(3)]
+    assert block_links(apart, None, 80).tolist() == block_links(apart, np.array([0, 1, 1]), 80).tolist() == [0, 1, 2]
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(10))) for i in range(1500)]
+    assert all(r["component_id"] == r["doc_id"] for r in jaccard_join(docs(spark, rows)).collect())
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(100))) for i in range(40)]
+    rows.append((50, rows[7][1].replace("w7x30 ", "zz ").replace("w7x70 ", "zz ")))  # 86 of 106 five-word shingles
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join(docs(spark, rows), n_gram=5, percent=80).collect()}
+    assert got == {i: 7 if i == 50 else i for i, _ in rows}
+
+
 def test_decontaminate(spark):
     items = [(1, "one two three four five six seven eight nine ten eleven twelve"), (2, "Short Item here"), (3, None), (4, " . "), (None, "q1 q2 q3"), (2, "Short Item here"), (5, "the the the the the the the the the the the")]
     rows = [*EDGE, (20, "x One two, three four five six seven eight nine ten! eleven y"), (21, "two three four five six seven eight nine ten eleven twelve short item HERE"), (22, "q1 q2 q3 é"), (23, "the " * 25), (24, "one two three four five six seven eight nine")]
