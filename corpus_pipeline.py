@@ -16,25 +16,43 @@ from frameyard.llm.secret_scan import mask_secrets
 from frameyard.llm.toxicity import score_toxicity
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """docs whose doc_id is not among the rejected ids; columns and repeated rows stay as they are."""
-    gone = bounded_broadcast(materialize(rejected.select(F.col("doc_id").alias("_gone")).distinct()))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+#: The stages' own name for a row: ids may be missing, repeated, or stand for several texts.
+ROW = "_corpus_pipeline_row"
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs with a number for each row, written once so that every later read sees the same numbers."""
+    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def _without(numbered: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows whose numbers are not among the rejected, without the numbers; nothing else changes."""
+    gone = bounded_broadcast(materialize(rejected.select(F.col(ROW).alias("_gone"))))
+    return numbered.join(gone, F.col(ROW) == F.col("_gone"), "left_anti").drop(ROW)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted toxic go."""
-    return _without(docs, score_toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1"))
+    """Rows whose text is predicted toxic go; other texts under the same id stay."""
+    rows = _numbered(docs)
+    return _without(rows, score_toxicity(rows, table(spark, sf_dir, "labels"), key_col=ROW).where("predicted = 1"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by n-gram Jaccard the document with the smallest id stays."""
-    return _without(docs, jaccard_join(docs).where("doc_id <> component_id"))
+    """Of each group linked by n-gram Jaccard one row stays: the least by id, digest of the text, and place among the
+    rows. Rows without an id come last; repeated rows are a group; texts without words are in no group and stay."""
+    rows = _numbered(docs)
+    linked = jaccard_join(rows, id_col=ROW).select(F.col("doc_id").alias("_at"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("bare"), F.col("doc_id"), F.xxhash64("text").alias("digest"), F.col(ROW))
+    ranked = materialize(rows.select(ROW, order.alias("order")).join(linked, F.col(ROW) == F.col("_at")).select(ROW, "component_id", "order"))
+    stay = ranked.groupBy("component_id").agg(F.min("order").alias("least")).select(F.col("least")[ROW].alias("_stay"))
+    return _without(rows, ranked.join(stay, F.col(ROW) == F.col("_stay"), "left_anti"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
-    return _without(docs, decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
+    """Rows whose text holds a window of a benchmark item go; other texts under the same id stay."""
+    rows = _numbered(docs)
+    found = decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col=ROW).where("contaminated")
+    return _without(rows, found.select(F.col("doc_id").alias(ROW)))
 
 
 def mask_found_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

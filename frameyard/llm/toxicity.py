@@ -65,7 +65,7 @@ def _select_terms(examples: DataFrame) -> list[str]:
 
 
 def _features(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """(doc_id, t, tf): the numbers of the kept terms in each text, and how often they stand in it."""
+    """(doc_id, t, tf, _key): the numbers of the kept terms in each text, and how often they stand in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {t: i for i, t in enumerate(terms)}
@@ -82,9 +82,9 @@ def _features(docs: DataFrame, terms: list[str]) -> DataFrame:
                 found = sorted(tf)
                 ts.append(found)
                 tfs.append([tf[i] for i in found])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ts, pa.list_(pa.int32())), pa.array(tfs, pa.list_(pa.int32()))], names=["doc_id", "t", "tf"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ts, pa.list_(pa.int32())), pa.array(tfs, pa.list_(pa.int32())), batch.column(2)], names=["doc_id", "t", "tf", "_key"])
 
-    return docs.mapInArrow(run, "doc_id long, t array<int>, tf array<int>")
+    return docs.select("doc_id", "text", "_key").mapInArrow(run, "doc_id long, t array<int>, tf array<int>, _key long")
 
 
 class BlockMaxIndex:
@@ -156,20 +156,21 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([m / n for _, n, m in pools]), np.array([(s + 0.5 * s / n) / (n + 0.5) for s, n, _ in pools])
 
 
-SCORED = "doc_id long, score double, evidence array<struct<doc_id: long, cosine: double, toxic: int>>"
+SCORED = "doc_id long, score double, evidence array<struct<doc_id: long, cosine: double, toxic: int>>, _key long"
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", key_col: str | None = None) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score, predicted, and evidence: the nearest labelled examples.
 
     Examples are the labelled rows outside the held-out fold (crc32 of the id modulo 4 is 2), at most `examples` of
     them, chosen by a hash of the id; of several labels of an id the largest counts. Term frequencies in documents
     are counted over all of docs. A text without a kept term (null and empty ones too) gets the rate of such
     examples; without any example every score is 0. A null id is scored and not held out; repeated rows are scored
-    each; other columns are not read.
+    each; other columns are not read. key_col, if given, names a column of whole numbers that comes along with each
+    row, last, for callers to whom the id does not name a row.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), (F.col(key_col) if key_col else F.lit(None)).cast("long").alias("_key"))
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
     known = (
         labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
@@ -199,18 +200,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
             ix, weights = held.value
             for batch in batches:
                 score, evidence = [], []
-                for i, t, tf in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for i, t, tf in zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True):
                     near = ix.top(*weigh(t, tf, weights), NEIGHBOURS, i if leave_out else None) if t else []
                     raw = vote(ix, near, prior)
                     score.append((float(np.interp(raw, *fit)) if fit else raw) if near else bare_rate)
                     evidence.append([{"doc_id": int(ix.ids[r]), "cosine": c, "toxic": int(ix.labels[r])} for c, r in near[:EVIDENCE]])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(score, pa.float64()),
-                     pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())])))],
-                    names=["doc_id", "score", "evidence"],
+                     pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))), batch.column(3)],
+                    names=["doc_id", "score", "evidence", "_key"],
                 )
 
-        return source.select("doc_id", "t", "tf").mapInArrow(run, SCORED)
+        return source.select("doc_id", "t", "tf", "_key").mapInArrow(run, SCORED)
 
     fit = None
     if rich:
@@ -221,4 +222,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
     return scored(features, False, fit).select(
         "doc_id", F.coalesce(fold, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence",
+        *([F.col("_key").alias(key_col)] if key_col else []),
     )

@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 from frameyard.llm.common import materialize
 
@@ -27,3 +29,40 @@ def test_stages(spark):
                 assert ("[SECRET]" in r["text"]) == hit and r["n_chars"] == len(r["text"]) and (hit or r["text"] == before[i])
         if name == "best_fit_packing":
             assert set(after) == set(before)
+
+
+def rows_of(df):
+    return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+
+
+def test_near_copies_odd_ids(spark):
+    """Of each group one row stays, whether its rows repeat, have no id, or share an id with another text."""
+    text = lambda c: " ".join(f"{c}{i}" for i in range(80))
+    a, b, c, d = map(text, "abcd")
+    rows = [(5, a), (5, b), (3, b), (None, c), (None, c), (7, d), (7, d), (7, d), (9, None), (9, ""), (None, None), (2, c + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert got.columns == docs.columns
+    assert rows_of(got) == sorted([(5, a), (3, b), (7, d), (9, None), (9, ""), (None, None), (2, c + " end")], key=str)
+    only = spark.createDataFrame([(None, c), (None, c), (None, d)], "doc_id long, text string")
+    assert rows_of(corpus_pipeline.drop_near_copies(spark, only, "")) == sorted([(None, c), (None, d)], key=str)
+
+
+def test_rejected_by_text(spark, tmp_path):
+    """A contaminated or toxic text takes no other text of its id along."""
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    spark.createDataFrame([("1", item)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, "clean"), (1, f"x {item} y"), (None, item), (None, "clean"), (2, item), (2, item), (3, None)], "doc_id long, text string")
+    assert rows_of(corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))) == sorted([(1, "clean"), (None, "clean"), (3, None)], key=str)
+
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        w = ["".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(30)] + (["vilest", "grotty"] if i % 5 == 0 else [])
+        rows.append((i, " ".join(w)))
+    spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    odd = [(1000, "vilest grotty"), (1000, "mild words"), (None, "vilest grotty"), (None, "mild words")]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string")
+    got = rows_of(corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)))
+    assert [r for r in got if r in odd] == [(1000, "mild words"), (None, "mild words")]
+    assert [r for r in got if r not in odd] == sorted((r for r in rows if r[0] % 5), key=str)
