@@ -58,6 +58,17 @@ def _find_all(text: bytes, needle: bytes) -> Iterator[int]:
         at = text.find(needle, at + 1)
 
 
+def _matches(pattern, canon: bytes, at: int, to: int) -> Iterator:
+    """Matches of a best-match pattern within [at, to), in order: the best one, and those before and behind it."""
+    todo = [(at, to, None)]
+    while todo:
+        at, to, found = todo.pop()
+        if found:
+            yield found
+        elif m := pattern.search(canon, at, to):
+            todo += [(m.end(), to, None), (at, to, m), (at, m.start(), None)]
+
+
 def fuzzy_matches(canon: bytes, plan) -> Iterator[tuple[int, int, str, int, int]]:
     """(start, end, label, edits, phrase length) of notices in words joined and surrounded by single spaces."""
     for phrase, label, k, seeds, pattern in plan:
@@ -72,9 +83,9 @@ def fuzzy_matches(canon: bytes, plan) -> Iterator[tuple[int, int, str, int, int]
             hits = hits[n:]
             at = max(0, last, lo - k - 1)
             to = min(len(canon), hi + len(phrase) + k + 1)
-            while m := pattern.search(canon, at, to):
+            for m in _matches(pattern, canon, at, to):
                 yield m.start(), m.end(), label, sum(m.fuzzy_counts), len(phrase)
-                at = last = m.end()
+                last = m.end()
 
 
 def scan_text(raw: bytes | None, plan) -> tuple:

@@ -64,6 +64,52 @@ def test_license_seeds_lose_nothing():
         assert got == want
 
 
+def test_license_close_notices():
+    """Every notice of a row of notices has its span, as a scan of all stretches of words finds, best first."""
+    from frameyard.llm.license_scan import _plan, fuzzy_matches
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            left, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                left, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, left + (x != y))
+        return row[-1]
+
+    def brute_spans(words):
+        out = []
+        for p, label, k in NOTICES:
+            n, found = len(p.split()), []
+            for a in range(len(words)):
+                for b in range(a + 1, min(len(words), a + n + 2) + 1):
+                    if (e := edits(" ".join(words[a:b]).encode(), p)) <= k:
+                        found.append((e, a, b))
+            free = set(range(len(words)))
+            for e, a, b in sorted(found):
+                if free >= set(range(a, b)):
+                    free -= set(range(a, b))
+                    out.append((label, a, b, e))
+        return sorted(out)
+
+    def spans(words):
+        canon = (" " + " ".join(words) + " ").encode()
+        at = lambda p: canon.count(b" ", 0, p) - 1
+        return sorted((label, at(a), at(b) + 1, e) for a, b, label, e, _ in fuzzy_matches(canon, plan))
+
+    plan = _plan(NOTICES)
+    assert spans("mit licence mit license".split()) == [("mit", 0, 2, 1), ("mit", 2, 4, 0)]
+    rng = random.Random(11)
+    for _ in range(60):
+        words = []
+        for _ in range(rng.randint(1, 6)):
+            phrase, _, k = rng.choice(NOTICES[:4])
+            text = list(phrase.decode())
+            for i in rng.sample([i for i, c in enumerate(text) if c != " "], rng.randint(0, k)):
+                text[i] = "q"
+            words += "".join(text).split() + ["under"] * rng.randint(0, 1)
+        assert spans(words) == brute_spans(words), words
+
+
 def test_secret_scan(spark):
     got = by_id(secret_scan(docs(spark)), "n_assign", "n_access", "n_hex", "base_sha256")
     same(got, [(i, *brute.secrets(t)) for i, t in EDGE])
