@@ -9,6 +9,7 @@ A rule without a mandatory trigram scans every text.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
@@ -24,13 +25,15 @@ class Rule:
     regex: str
     group: int
     least: int
+    #: The same matches with the bound of least inside, so that short ones are never collected.
+    bounded: str = ""
 
 
 #: Fixed values, in the order in which ties of a start are listed.
 BASE = (
     Rule("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]+", 0, 24),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 20, r"AKIA[A-Z0-9]{16,}"),
+    Rule("hex", r"[0-9a-f]+", 0, 24, r"[0-9a-f]{24,}"),
 )
 #: The method's own kinds.
 RULES = (
@@ -43,6 +46,10 @@ RULES = (
 )
 #: Alternatives of a literal stretch that are followed one by one; a wider choice ends the stretch.
 WIDEST = 16
+#: Letters, the most common ones of English first.
+COMMON = "etaoinsrhldcumfpgwybvkxjqz"
+#: Matches that are added up one by one; the sums of such runs are added up again.
+RUN = 256
 
 
 def _strings(parsed) -> tuple[list[str] | None, list[frozenset[str]]]:
@@ -105,25 +112,45 @@ def trigram_query(regex: str) -> list[frozenset[str]]:
     return sorted((n for n in need if not any(m < n for m in need)), key=sorted)
 
 
+def _leads(alternatives: list[set[str]]) -> dict[str, list[str]]:
+    """A lead for every alternative, with the other trigrams that alternatives of this lead name. Leads of rare letters
+    and of many alternatives come first; any choice gives the same candidates, these are read for few texts."""
+    rank = lambda t: sum(COMMON.index(c) if c in COMMON else len(COMMON) for c in t)
+    left, out = list(alternatives), {}
+    while left:
+        lead = max(sorted({t for alt in left for t in alt}), key=lambda t: rank(t) * sum(t in alt for alt in left))
+        out[lead] = sorted({t for alt in left if lead in alt for t in alt} - {lead})
+        left = [alt for alt in left if lead not in alt]
+    return out
+
+
 def _key(id_col: str, text: Column) -> list[Column]:
     return [F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("_hash")]
 
 
+def _let(value: Column, use) -> Column:
+    """use(value) with value worked out once: a column named inside a lambda is worked out at each of its calls."""
+    return F.transform(F.array(value), use)[0]
+
+
 def candidates(docs: DataFrame, rules, id_col: str, text: Column) -> DataFrame | None:
     """(doc_id, _hash, _rules): the numbers of the indexed rules whose query a row's trigrams fulfil, one row per key."""
     spark = docs.sparkSession
     queries = [(n, a, t) for n, r in enumerate(rules) for a, alt in enumerate(trigram_query(r.regex)) for t in sorted(alt)]
     if not queries:
         return None
-    trigrams = sorted({t for *_, t in queries})
-    low = F.lower(text)
-    # postings of the trigrams that the queries name
-    postings = docs.select(*_key(id_col, text), F.filter(F.array(*(F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in trigrams)), lambda t: t.isNotNull()).alias("t"))
     need = {}
     for n, a, t in queries:
         need.setdefault((n, a), set()).add(t)
-    least = min(map(len, need.values()))
-    postings = postings.where(F.size("t") >= least).select("doc_id", "_hash", F.explode("t").alias("trigram"))
+    led = _leads(list(need.values()))
+
+    def named(low: Column) -> Column:
+        """The trigrams of a text that its queries ask for: those of the alternatives whose lead stands in it."""
+        of = [F.when(F.contains(low, F.lit(lead)), F.array(F.lit(lead), *(F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in more))) for lead, more in led.items()]
+        return F.array_distinct(F.array_compact(F.flatten(F.array_compact(F.array(*of)))))
+
+    # postings of the trigrams that the queries name; explode drops the texts without any
+    postings = docs.select(*_key(id_col, text), F.explode(_let(F.lower(text), named)).alias("trigram"))
     terms = spark.createDataFrame([(t, n, a, len(need[n, a])) for n, a, t in queries], "trigram string, rule int, alt int, need int")
     return (
         postings.join(F.broadcast(terms), "trigram")  # the rules' own terms: a few hundred rows at most
@@ -135,23 +162,31 @@ def candidates(docs: DataFrame, rules, id_col: str, text: Column) -> DataFrame |
 
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """array<struct<start, kind_no, end>> in code points of a rule's leftmost matches, short ones dropped."""
-    found = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(0))
-    checked = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(rule.group)) if rule.group else found
-    between = F.transform(F.split(text, rule.regex, -1), F.length)
-    seed = F.struct(F.lit(0).alias("at"), F.lit(None).cast("array<struct<start:int,kind:int,end:int>>").alias("out"))
-    # one step per match: skip the text before it, note it, go on behind it
+    regex = rule.bounded or rule.regex
+    found = F.regexp_extract_all(text, F.lit(regex), F.lit(0))
+    checked = F.regexp_extract_all(text, F.lit(regex), F.lit(rule.group)) if rule.group else found
+    gaps = F.transform(F.split(text, regex, -1), F.length)
+    # one step per match: skip the text before it, note it, go on behind it; behind the last one there is no match
     steps = F.zip_with(F.zip_with(F.transform(found, F.length), F.transform(checked, F.length), lambda a, b: F.struct(a.alias("n"), b.alias("c"))),
-                       between, lambda m, gap: F.struct(m["n"].alias("n"), m["c"].alias("c"), gap.alias("gap")))
+                       gaps, lambda m, gap: F.struct(F.coalesce(m["n"], F.lit(0)).alias("n"), m["c"].alias("c"), gap.alias("gap")))
+    seed = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
 
     def step(acc, m):
         start = acc["at"] + m["gap"]
-        end = start + F.coalesce(m["n"], F.lit(0))
-        out = F.coalesce(acc["out"], empty)
+        end = start + m["n"]
         hit = F.struct(start.alias("start"), F.lit(order).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(m["c"] >= rule.least, F.concat(out, F.array(hit))).otherwise(out).alias("out"))
+        return F.struct(end.alias("at"), F.when(m["c"] >= rule.least, F.concat(acc["out"], F.array(hit))).otherwise(acc["out"]).alias("out"))
+
+    def cut(steps):
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / RUN).cast("int")), lambda r: F.slice(steps, r * RUN + 1, F.lit(RUN)))
+
+    def walk(runs):
+        total = F.transform(runs, lambda run: F.aggregate(run, F.lit(0), lambda acc, m: acc + m["gap"] + m["n"]))
+        begin = F.aggregate(total, seed, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+        return F.flatten(F.zip_with(runs, begin, lambda run, at: F.aggregate(run, F.struct(at.alias("at"), empty.alias("out")), step)["out"]))
 
-    return F.coalesce(F.aggregate(steps, seed, step)["out"], empty)
+    return F.when(text.rlike(regex), _let(_let(steps, cut), walk)).otherwise(empty)
 
 
 def find_spans(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
