@@ -84,3 +84,19 @@ def repeats(rows, length):
         runs = sum(1 for x in bytes(gone).split(b"\0") if x)
         out.append((i, len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def passages(rows, words):
+    """(id, maximal runs, bytes) of words under strings of so many words, A-Z lower-cased, that stand elsewhere too."""
+    places = {n: [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for n, (_, t) in enumerate(rows)}
+    low = {n: [(rows[n][1] or "").encode().lower()[a:b] for a, b in p] for n, p in places.items()}
+    count = Counter(tuple(w[i : i + words]) for w in low.values() for i in range(len(w) - words + 1))
+    out = []
+    for n, w in low.items():
+        gone = bytearray(len(w) + 1)
+        for i in range(len(w) - words + 1):
+            if count[tuple(w[i : i + words])] > 1:
+                gone[i : i + words] = b"\1" * words
+        runs = [m.span() for m in re.finditer(b"\1+", bytes(gone))]
+        out.append((rows[n][0], len(runs), sum(places[n][b - 1][1] - places[n][a][0] for a, b in runs)))
+    return out

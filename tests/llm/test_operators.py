@@ -218,6 +218,21 @@ def test_suffix_dedup(spark, monkeypatch, group):
     same(got, brute.repeats(rows, 400))
 
 
+@pytest.mark.parametrize("group", [4000, 1])
+def test_passages(spark, monkeypatch, group):
+    """Passages of more than so many words that stand elsewhere too, however short in bytes."""
+    from frameyard.llm import suffix_dedup as s
+
+    monkeypatch.setattr(s, "GROUP", group)
+    rng = random.Random(12)
+    prose = lambda n: " ".join(rng.choice("abcdefgh") * rng.randint(1, 3) + str(rng.randint(0, 99)) for _ in range(n))
+    passage = prose(30)
+    rows = [(i, t) for i, t in EDGE if i not in (6, 7)]
+    rows += [(20 + i, "  ".join((prose(rng.randint(0, 30)), " ".join(passage.split()[rng.randint(0, 12) :]).upper(), prose(20)))) for i in range(8)]
+    rows += [(40, passage + "\n" + passage), (41, "a b " * 40), (42, prose(60)), (43, rows[-1][1])]
+    same(by_id(suffix_dedup(docs(spark, rows), passage=18), "n_passages", "passage_bytes"), brute.passages(rows, 18))
+
+
 def test_token_counts(spark):
     import sentencepiece
 
@@ -228,8 +243,9 @@ def test_token_counts(spark):
     cut = {r["doc_id"]: r["cut"] for r in token_counts(docs(spark)).collect()}[6]
     assert n(LONG[:cut]) <= 4096 < n(LONG[: cut + 1])
     small = [(i, t) for i, t in EDGE if len(t or "") < 200]
+    texts = dict(small)
     for r in prefix_table(docs(spark, small)).collect():
-        pass
+        assert list(r["counts"]) == [n((texts[r["doc_id"]] or "")[:i]) for i in range(len(texts[r["doc_id"]] or "") + 1)]
     counter = PrefixCounter(piece_path())
     rng = random.Random(7)
     for _ in range(300):
