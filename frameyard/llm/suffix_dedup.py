@@ -353,10 +353,11 @@ def find_repeats(docs: DataFrame, rules: Rules) -> DataFrame:
     return same.distinct().unionByName(mixed).groupBy("key").agg(F.collect_list(F.struct("u", "s", "e")).alias("spans"))  # as long as a text at most
 
 
-def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def _merged(spans: list[tuple[int, int]], raw: bytes, unit: int) -> list[tuple[int, int]]:
+    """The spans as maximal runs; between runs of words only white space may stand."""
     out: list[tuple[int, int]] = []
     for s, e in sorted(spans):
-        if out and s <= out[-1][1]:
+        if out and (s <= out[-1][1] or unit == WORDS and not raw[out[-1][1] : s].strip()):
             out[-1] = out[-1][0], max(out[-1][1], e)
         else:
             out.append((s, e))
@@ -387,7 +388,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
             size, removed, runs, digest, kept, passages, covered = [], [], [], [], [], [], []
             for t, spans in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
                 raw = t.as_py()
-                by = {u: _merged([(p["s"], p["e"]) for p in spans or () if p["u"] == u]) for u in (BYTES, WORDS)}
+                by = {u: _merged([(p["s"], p["e"]) for p in spans or () if p["u"] == u], raw, u) for u in (BYTES, WORDS)}
                 out, at = [], 0
                 for s, e in by[BYTES]:
                     out.append(raw[at:s])
