@@ -51,7 +51,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup(table(spark, sf_dir, "documents"), with_kept=False).drop("kept")
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

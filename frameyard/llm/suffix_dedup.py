@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from frameyard.llm.common import bounded_broadcast, materialize, release
 from frameyard.llm.shingles import _powers, mix, word_hashes
 
-LENGTH, GRAM = 400, 128
-PASSAGE, PASSAGE_GRAM = 51, 16
+LENGTH, GRAM = 400, 96
+PASSAGE, PASSAGE_GRAM = 51, 12
 BYTES, WORDS = 0, 1
 #: Different stretches under one gram that one task sorts; beyond, the gram is cut into longer ones.
 GROUP = 4000
@@ -76,8 +76,8 @@ def select_grams(raw: bytes, length: int = LENGTH, gram: int = GRAM, unit: int =
     if unit == WORDS:
         if len(raw) < 2 * length - 1:
             return out[0]
-        symbols = word_hashes(raw)
         start, end = word_places(raw)
+        symbols = word_hashes(raw) if len(start) >= length else start
     for at in range(0, (len(symbols) if unit == WORDS else len(raw)) - length + 1, SEGMENT):
         if unit == WORDS:
             h, a, b = _select(symbols[at : at + SEGMENT + length - 1], length, gram)
@@ -329,18 +329,21 @@ def find_repeats(docs: DataFrame, rules: Rules) -> DataFrame:
     # one stretch and no other under the gram: nothing to sort, each of its strings stands wherever the gram does
     same = hits.where("same").select("key", F.col("h").bitwiseAND(1).alias("u"), F.col("a").alias("s"), "e")
     kinds = materialize(hits.where("not same").groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("key", "a", "e")).alias("at")))
-    big = materialize(kinds.groupBy("h").agg(F.count("*").alias("kinds")).where(F.col("kinds") > GROUP).select("h"))
-    contents = materialize(_contents(docs, kinds.select("at.key", "h", "ctx", "at.a", "at.e")))
+    longer = {u: (length, gram + max(1, (length - gram) // 2)) for u, (length, gram) in rules.items() if gram < length}  # up to the strings themselves
+    big = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where((F.col("kinds") > GROUP) & F.col("h").bitwiseAND(1).isin(*longer))
+    big = materialize(big.select("h"))
+    # where every stretch of a gram stands twice, all strings do; the others are sorted
+    open_ = kinds.groupBy("h").agg(F.min("n").alias("least")).where("least = 1").select("h")
+    contents = materialize(_contents(docs, kinds.join(open_, "h", "left_semi").select("at.key", "h", "ctx", "at.a", "at.e")))
     n_big = big.count()
     small = contents.join(bounded_broadcast(big, counted=n_big), "h", "left_anti") if n_big else contents
     spans = _sorted_spans(small, max(16, kinds.count() // 2000), rules)
     if n_big:
         hot = materialize(contents.dropDuplicates(["h", "ctx"]).join(bounded_broadcast(big, counted=n_big), "h", "left_semi").withColumn("key", _key(F.col("content"))))
-        for u, (length, gram) in rules.items():
+        for u, rule in longer.items():
             own = hot.where(F.col("h").bitwiseAND(1) == u)
-            longer = {u: (length, gram + max(1, (length - gram) // 2))}  # ends at grams that are the strings themselves
-            inner = find_repeats(own.select("key", F.col("content").alias("text")), longer) if own.limit(1).count() else None
-            if inner is not None:
+            if own.limit(1).count():
+                inner = find_repeats(own.select("key", F.col("content").alias("text")), {u: rule})
                 spans = spans.unionByName(own.join(inner, "key").select("h", "ctx", F.transform("spans", lambda p: F.struct(p["s"].alias("s"), p["e"].alias("e"))).alias("spans")))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("s"), F.lit(1 << 40).cast("long").alias("e")))
     found = kinds.select("h", "ctx", "n").join(spans, ["h", "ctx"], "left").withColumn("spans", F.when(F.col("n") > 1, whole).otherwise(F.col("spans")))
@@ -367,9 +370,9 @@ def _merged(spans: list[tuple[int, int]], raw: bytes, unit: int) -> list[tuple[i
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, n_passages long, passage_bytes long"
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE) -> DataFrame:
-    """One row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes), and
-    n_passages and passage_bytes: maximal runs of words covered by strings of `passage` words that stand elsewhere, and
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE, with_kept: bool = True) -> DataFrame:
+    """One row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes; null without
+    with_kept), and n_passages and passage_bytes: maximal runs of words covered by strings of `passage` words that stand elsewhere, and
     their bytes, removed or not.
 
     A byte goes if a string of `length` bytes that covers it also starts anywhere else in docs, the same text and
@@ -398,7 +401,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
                 removed.append(len(raw) - len(left))
                 runs.append(len(by[BYTES]))
                 digest.append(hashlib.sha256(left).hexdigest())
-                kept.append(left)
+                kept.append(left if with_kept else None)
                 passages.append(len(by[WORDS]))
                 covered.append(sum(e - s for s, e in by[WORDS]))
             longs = [pa.array(c, pa.int64()) for c in (size, removed, runs)]
