@@ -11,6 +11,7 @@ components are laid against each other.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -26,6 +27,8 @@ from frameyard.llm.shingles import mix, shingle_set
 
 #: Rows of a block, n-grams of a block, pivots that the blocks of a group share, columns multiplied at a time.
 BLOCK_ROWS, BLOCK_GRAMS, PIVOTS, COLUMNS = 512, 600_000, 32, 4096
+#: Digests that a worker hands on at a time.
+EMIT = 200_000
 
 
 def size_buckets(percent: int, upto: int = 1 << 40) -> list[int]:
@@ -36,49 +39,67 @@ def size_buckets(percent: int, upto: int = 1 << 40) -> list[int]:
     return edges
 
 
+def class_count(bucket: int, percent: int, edges: list[int]) -> tuple[int, int]:
+    """(classes, spare) of a size bucket. Linked sets differ in d n-grams at most, so of d + 1 + spare classes they have
+    more than `spare` in common; a set with no more empty classes than that meets its partners in one with members."""
+    differ = 2 * (edges[bucket + 1] - 1) * (100 - percent) // (100 + percent)
+    spare = 0
+    if differ:
+        empty = (differ + 1) * math.exp(-edges[bucket] / (differ + 1))
+        spare = 1 + math.ceil(empty + 3 * math.sqrt(empty))
+    return differ + 1 + spare, spare
+
+
 def class_digests(h: np.ndarray, percent: int, edges: list[int]) -> np.ndarray:
     """Digests of a set's classes, for its size bucket and the next one."""
     own = bisect_right(edges, len(h)) - 1
     out = []
     for bucket in (own, own + 1):
-        differ = 2 * (edges[bucket + 1] - 1) * (100 - percent) // (100 + percent)  # at most, between linked sets
-        cls = (h % np.uint64(differ + 1)).astype("i8")
+        classes, spare = class_count(bucket, percent, edges)
+        cls = (h % np.uint64(classes)).astype("i8")
         order = np.argsort(cls, kind="stable")
         first = np.flatnonzero(np.diff(cls[order], prepend=-1))
         total = np.add.reduceat(mix(h)[order], first)
         salt = np.uint64(bucket) << np.uint64(40)
         out.append(mix(total ^ mix(salt + cls[order][first].astype("u8"))))
-        # classes without members are equal too; a set with one says so once for each
-        empty = np.setdiff1d(np.arange(differ + 1), cls).astype("u8")
-        out.append(mix(mix(salt + empty) + np.uint64(1)))
+        if classes - len(first) > spare:  # rare: classes without members count as equal too
+            empty = np.setdiff1d(np.arange(classes), cls).astype("u8")
+            out.append(mix(mix(salt + empty) + np.uint64(1)))
     return np.concatenate(out)
 
 
 def _profile(docs: DataFrame, n_gram: int) -> DataFrame:
-    """(doc_id, k, n): a digest of each text's set, and its size."""
+    """(doc_id, t, k, n): a digest of each text, one of its set, and the set's size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), n_gram) for t in batch.column(1)]
             k = [xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63) for h in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(k, pa.int64()), pa.array([len(h) for h in sets], pa.int32())], names=["doc_id", "k", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(k, pa.int64()), pa.array([len(h) for h in sets], pa.int32())], names=["doc_id", "t", "k", "n"])
 
-    return docs.mapInArrow(run, "doc_id long, k long, n int")
+    return docs.mapInArrow(run, "doc_id long, t long, k long, n int")
 
 
 def _classes(docs: DataFrame, n_gram: int, percent: int) -> DataFrame:
     """(h, k): the class digests of each text's set."""
     edges = size_buckets(percent)
 
+    def out(hs: list[np.ndarray], ks: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view("i8")), pa.array(np.concatenate(ks))], names=["h", "k"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hs, ks = [np.zeros(0, "u8")], [np.zeros(0, "i8")]
+            hs, ks, n = [np.zeros(0, "u8")], [np.zeros(0, "i8")], 0
             for t in batch.column(1):
                 h = shingle_set(t.as_py(), n_gram)
                 if len(h):
                     hs.append(class_digests(h, percent, edges))
                     ks.append(np.full(len(hs[-1]), xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63), "i8"))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view("i8")), pa.array(np.concatenate(ks))], names=["h", "k"])
+                    n += len(hs[-1])
+                if n > EMIT:
+                    yield out(hs, ks)
+                    hs, ks, n = [np.zeros(0, "u8")], [np.zeros(0, "i8")], 0
+            yield out(hs, ks)
 
     return docs.mapInArrow(run, "h long, k long")
 
@@ -144,8 +165,27 @@ def _multiply(rows: DataFrame, keys: list[str], n_gram: int, percent: int, sided
     return rows.groupBy(*keys).applyInPandas(run, "u long, v long")
 
 
+def _narrowed(big: DataFrame, texts: DataFrame, n_gram: int, percent: int) -> DataFrame:
+    """big, rows (comp, k, n, at, label) of candidate groups of many blocks, with the groups that were brought together
+    by chains of digests taken apart again: into the rows under each digest, where that makes fewer pairs. Digests
+    under which all rows are of one label go; of digests with the same rows one stays."""
+    under = materialize(_classes(texts.select("doc_id", "text"), n_gram, percent).distinct().join(big.select(F.col("k").alias("bk"), "comp", "label"), F.col("k") == F.col("bk")))
+    mark = F.xxhash64("k")
+    groups = under.groupBy("comp", "h").agg(F.count("*").alias("m"), F.sum(mark % (1 << 31)).alias("s"), F.bit_xor(mark).alias("x"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    groups = materialize(groups.where("lo <> hi").groupBy("comp", "m", "s", "x").agg(F.min("h").alias("g")))
+    cost = groups.groupBy("comp").agg(F.sum(F.col("m").cast("double") * F.col("m")).alias("apart"))
+    whole = big.groupBy("comp").agg((F.count("*").cast("double") * F.count("*")).alias("whole"))
+    choice = materialize(whole.join(cost, "comp", "left").select(F.col("comp").alias("c"), (F.coalesce("apart", F.lit(0.0)) < F.col("whole")).alias("take_apart")))
+    chosen = big.join(bounded_broadcast(choice), F.col("comp") == F.col("c")).drop("c")
+    parts = groups.join(bounded_broadcast(choice), F.col("comp") == F.col("c")).where("take_apart").select(F.col("comp").alias("pc"), "g")
+    rows = under.select("k", "h", F.col("comp").alias("uc")).join(parts, (F.col("uc") == F.col("pc")) & (F.col("h") == F.col("g"))).select(F.col("k").alias("rk"), "g")
+    apart = chosen.where("take_apart").join(rows, F.col("k") == F.col("rk")).select(F.col("g").alias("comp"), "k", "n", "at", "label")
+    return chosen.where("not take_apart").select("comp", "k", "n", "at", "label").unionByName(apart)
+
+
 def _links(members: DataFrame, texts: DataFrame, n_gram: int, percent: int) -> DataFrame:
-    """All forests of links. members: (k, n, doc_id, comp), materialized, one row per set in a candidate group."""
+    """All forests of links. members: (k, n, at, comp), materialized, one row per set in a candidate
+    group; at: the (doc_id, t) of one of its texts."""
     groups = members.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("grams"))
     groups = groups.withColumn("blocks", F.greatest(F.ceil(F.col("m") / BLOCK_ROWS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int"))
     placed = materialize(members.join(groups, "comp"))
@@ -153,11 +193,11 @@ def _links(members: DataFrame, texts: DataFrame, n_gram: int, percent: int) -> D
     own = F.when(many, F.pmod(F.xxhash64("k"), F.col("blocks"))).otherwise(F.lit(0).cast("long"))
     pivot = many & (F.pmod(F.xxhash64("k", F.lit(1)), F.ceil(F.col("m") / PIVOTS)) == 0)
     homes = F.when(pivot, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(own))
-    dealt = placed.select("comp", "k", "doc_id", "blocks", F.explode(homes).alias("block"))
+    dealt = placed.select("comp", "k", "at", F.explode(homes).alias("block"))
 
     def with_text(rows: DataFrame) -> DataFrame:
-        held = bounded_broadcast(materialize(rows.withColumnRenamed("doc_id", "_id")))
-        return texts.join(held, F.col("doc_id").eqNullSafe(F.col("_id")))
+        held = bounded_broadcast(materialize(rows))
+        return texts.join(held, F.col("doc_id").eqNullSafe(F.col("at.doc_id")) & (F.col("t") == F.col("at.t")))
 
     first = materialize(_multiply(with_text(dealt), ["comp", "block"], n_gram, percent, sided=False))
     big = placed.where(many)
@@ -166,6 +206,7 @@ def _links(members: DataFrame, texts: DataFrame, n_gram: int, percent: int) -> D
     # groups of many blocks: what is one component already needs no more products
     labels = connected_components(first)
     big = materialize(big.join(labels.select(F.col("node").alias("k"), "component"), "k", "left").withColumn("label", F.coalesce("component", "k")))
+    big = materialize(_narrowed(big, with_text(big.select("k", "at")), n_gram, percent))
     sizes = big.groupBy("comp", "label").agg(F.count("*").alias("size"), F.sum("n").alias("label_grams"))
     # a component with many rows has blocks of its own; the others of a group share blocks
     sizes = sizes.withColumn("mine", F.when((F.col("size") >= BLOCK_ROWS // 4) | (F.col("label_grams") >= BLOCK_GRAMS // 4), F.col("label")))
@@ -173,7 +214,7 @@ def _links(members: DataFrame, texts: DataFrame, n_gram: int, percent: int) -> D
     half = F.greatest(F.ceil(F.col("all") / (BLOCK_ROWS // 2)), F.ceil(F.col("all_grams") / (BLOCK_GRAMS // 2)))
     per = per.withColumn("parts", half).withColumnRenamed("comp", "c").withColumnRenamed("mine", "mn")
     spread = big.join(sizes.select("comp", "label", "mine"), ["comp", "label"]).join(per, (F.col("comp") == F.col("c")) & F.col("mine").eqNullSafe(F.col("mn")))
-    spread = materialize(spread.select("comp", "k", "n", "doc_id", "mine", F.pmod(F.xxhash64("k", F.lit(2)), F.col("parts")).alias("part")))
+    spread = materialize(spread.select("comp", "k", "n", "at", "mine", F.pmod(F.xxhash64("k", F.lit(2)), F.col("parts")).alias("part")))
     blocks = spread.groupBy("comp", "mine", "part").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     blocks = materialize(blocks.withColumn("id", F.xxhash64("mine", "part")))
     a, b = (blocks.select("comp", *(F.col(c).alias(f"{c}_{s}") for c in ("mine", "part", "lo", "hi", "id"))) for s in "ab")
@@ -183,7 +224,7 @@ def _links(members: DataFrame, texts: DataFrame, n_gram: int, percent: int) -> D
         & (F.col("hi_a") * 100 >= F.col("lo_b") * percent) & (F.col("hi_b") * 100 >= F.col("lo_a") * percent)
     )
     sides = pairs.select("comp", "id_a", "id_b", F.explode(F.when(F.col("id_a") == F.col("id_b"), F.array("id_a")).otherwise(F.array("id_a", "id_b"))).alias("id"))
-    rows = spread.withColumn("id", F.xxhash64("mine", "part")).join(sides, ["comp", "id"]).select("comp", "id_a", "id_b", "k", "doc_id", F.col("id").alias("side"))
+    rows = spread.withColumn("id", F.xxhash64("mine", "part")).join(sides, ["comp", "id"]).select("comp", "id_a", "id_b", "k", "at", F.col("id").alias("side"))
     alone = F.col("id_a") == F.col("id_b")
     rows = with_text(rows)
     across = _multiply(rows.where(~alone), ["comp", "id_a", "id_b"], n_gram, percent, sided=True)
@@ -199,13 +240,14 @@ def jaccard_join(docs: DataFrame, n_gram: int = 3, percent: int = 90, id_col: st
     n_gram words has one, its whole sequence. Repeated rows are in one component; a null doc_id takes part and is
     never the smallest; alone it has a null component. Other columns are not read. No rows: no rows.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    text = F.col(text_col).cast("binary")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t"))
     rows = materialize(_profile(texts, n_gram))
-    # within the rows of a digest each set is tied to the least; the window spills and needs no copy of the rows
+    # copies of a set count once; within the sets of a digest each is tied to the least, in a window that spills
     least = F.min("k").over(Window.partitionBy("h"))
-    star = _classes(texts, n_gram, percent).select("k", least.alias("v")).where("k <> v").select(F.col("k").alias("u"), "v")
+    star = _classes(texts, n_gram, percent).distinct().select("k", least.alias("v")).where("k <> v").select(F.col("k").alias("u"), "v")
     groups = connected_components(star)
-    sets = rows.where("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("doc_id"))
+    sets = rows.where("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "t")).alias("at"))
     members = materialize(sets.join(groups.select(F.col("node").alias("k"), F.col("component").alias("comp")), "k"))
     links = _links(members, texts, n_gram, percent)
     roots = connected_components(links)

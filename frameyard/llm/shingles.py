@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 SEGMENT = 1 << 20
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -35,7 +38,10 @@ def _segment_words(b: np.ndarray) -> np.ndarray:
     up, down = _powers(len(b) + 1)
     total = np.zeros(len(b) + 1, "u8")
     np.cumsum((b.astype("u8") + np.uint64(1)) * up[: len(b)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype("u8"))
+    out = mix((total[end] - total[start]) * down[start] + (end - start).astype("u8"))
+    for i in np.flatnonzero(end - start > LONG_WORD):  # built strings of 1024 and more characters meet under every base
+        out[i] = xxhash.xxh3_64_intdigest(b[start[i] : end[i]].tobytes())
+    return out
 
 
 def word_hashes(raw: bytes) -> np.ndarray:

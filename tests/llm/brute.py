@@ -44,11 +44,11 @@ def components(ids, links):
     return {i: find(i) for i in ids}
 
 
-def jaccard(rows, percent=90):
+def jaccard(rows, percent=90, n=3):
     sets = {}
     for i, t in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(UP))
-        sets[i] = {tuple(w[j : j + 3]) for j in range(len(w) - 2)} if len(w) >= 3 else {tuple(w)} if w else set()
+        sets[i] = {tuple(w[j : j + n]) for j in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
     links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     comp = components(sets, links)
     return {i: (len(sets[i]), comp[i]) for i in sets}

@@ -165,6 +165,32 @@ def test_jaccard_blocks(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join(docs(spark, rows)).collect()} == brute.jaccard(rows)
 
 
+def test_jaccard_built_words(spark):
+    """Words that every polynomial hash of bytes takes for one another are different words."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    a, b = ("".join("ab"[x ^ flip] for x in bits) for flip in (0, 1))
+    got = jaccard_join(docs(spark, [(1, f"{a} x y"), (2, f"{b} x y"), (3, f"{a.upper()} X y")])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 2, 3: 1}
+
+
+def test_jaccard_footers(spark, monkeypatch):
+    """Documents that share a footer only, and a chain of near copies among them."""
+    from frameyard.llm import jaccard_join as j
+
+    monkeypatch.setattr(j, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(j, "PIVOTS", 2)
+    rng = random.Random(13)
+    footer = " ".join(f"f{i}" for i in range(60))
+    rows = [(i, " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(rng.randint(3, 60))) + " " + footer) for i in range(150)]
+    for i in range(200, 240):
+        w = rng.choice(rows)[1].split()
+        w[rng.randrange(len(w))] = "zz"
+        rows.append((i, " ".join(w)))
+    for n, percent in ((3, 90), (5, 80)):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join(docs(spark, rows), n_gram=n, percent=percent).collect()}
+        assert got == brute.jaccard(rows, percent, n)
+
+
 def test_jaccard_nothing_in_common(spark):
     """Candidates that share no n-gram do not link, whatever their sizes."""
     from frameyard.llm.jaccard_join import block_links
