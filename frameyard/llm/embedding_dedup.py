@@ -5,7 +5,8 @@ shard builds a graph whose adjacency lists are robust-pruned (a neighbour is dro
 it); the lists of a vector in all its shards are united. Each vector then searches its shards: greedily from the
 shard's medoids with a beam, and then on through every vector within range, the range search of the flat graph. Hits
 are verified in double precision, and a pair that several shards hold counts in the first of them only. Recall is
-audited against brute force on a sample of queries; below the target the overlap is doubled, up to all shards.
+audited against brute force on a sample of queries; below the target the overlap is doubled, up to all shards, where
+blocked products of everything take the place of the graphs if those still miss links.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 
 from frameyard.llm.common import bounded_broadcast, connected_components, materialize, release
 
-#: The index is fitted on at most SAMPLE vectors; every vector is indexed. Centroids are at most CENTROIDS.
-SAMPLE, CENTROIDS, SHARD = 20_000, 1024, 1500
+#: The index is fitted on at most SAMPLE vectors, four a centroid or more; every vector is indexed.
+SAMPLE, SHARD = 20_000, 1500
 OVERLAP, DEGREE, BEAM, ALPHA, MEDOIDS = 2, 24, 64, 1.2, 24
 AUDIT, TARGET = 512, 0.99
 
@@ -130,6 +131,7 @@ def _open(queries, v, table, sims, opened, q, i) -> None:
 
 def _unit(pdf: pd.DataFrame) -> np.ndarray:
     x = np.array(pdf["embedding"].tolist(), "f8")
+    x /= np.abs(x).max(1, keepdims=True, initial=1e-320)  # squares of very large and very small numbers don't exist
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -165,8 +167,8 @@ def _assign(reps: DataFrame, centroids, overlap: int) -> DataFrame:
 
 
 def _shard_rows(assigned: DataFrame) -> DataFrame:
-    """One row per vector and shard. A shard over its size is cut into parts: each builds its own graph, and every
-    vector of the shard searches all the parts, so that none is left out."""
+    """One row per vector and shard. A shard over its size is cut into parts: each builds its own graph, and the vectors
+    of every part search all the parts, so that none is left out."""
     rows = assigned.withColumn("shard", F.explode("shards"))
     sizes = rows.groupBy("label", "shard").agg(F.count("*").alias("size"))
     sizes = sizes.select(F.col("label").alias("l"), F.col("shard").alias("s"), F.ceil(F.col("size") / (2 * SHARD)).alias("parts"))
@@ -187,35 +189,45 @@ def _adjacency(rows: DataFrame) -> DataFrame:
     return lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))  # overlap lists at most
 
 
-def _range_search(rows: DataFrame, adjacency: DataFrame, least: float) -> DataFrame:
+def _range_search(rows: DataFrame, adjacency: DataFrame, least: float, exact: bool = False) -> DataFrame:
     """(rep, n, u, v): per vector and shard part the copies linked with it, and an edge towards a linked vector that
-    keeps the component. A pair counts in the first shard that both are in."""
+    keeps the component. A pair counts in the first shard that both are in. A task has the vectors of two parts at
+    most: those that search and those of the graph, which exact compares one by one."""
     graph = rows.join(adjacency.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r")).drop("r")
-    parts = graph.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    searching = graph.withColumn("part", other).withColumn("chunk", F.col("home"))
+    searched = graph.withColumn("chunk", other).withColumn("part", F.col("home")).where("chunk <> part")
+    parts = searching.unionByName(searched)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         shard = int(pdf["shard"].iloc[0])
         here = np.flatnonzero(pdf["home"].to_numpy() == pdf["part"].to_numpy())
-        if not len(here):
+        asks = np.flatnonzero(pdf["home"].to_numpy() == pdf["chunk"].to_numpy())
+        if not len(here) or not len(asks):
             return pd.DataFrame({"rep": [], "n": [], "u": [], "v": []})
         rep, many = pdf["rep"].to_numpy(), pdf["many"].to_numpy()
         x = _unit(pdf)
-        at = {r: i for i, r in enumerate(rep[here])}
-        lists = [np.array([at[r] for r in near if r in at], "i4") for near in pdf["near"].iloc[here]]
         v = x[here]
-        v4 = v.astype("f4")
-        start = medoids(v4)
+        if not exact:
+            at = {r: i for i, r in enumerate(rep[here])}
+            lists = [np.array([at[r] for r in near if r in at], "i4") for near in pdf["near"].iloc[here]]
+            v4 = v.astype("f4")
+            start = medoids(v4)
         home = pdf["home"].to_numpy() == pdf["part"].to_numpy()
         n_rows, codes = len(rep), [np.zeros(0, "i8")]
         step = max(1, 8_000_000 // len(here))
-        for a in range(0, n_rows, step):
-            hits = search(x[a : a + step].astype("f4"), v4, lists, start, BEAM, least - 1e-4)[0]
-            for q, h in enumerate(hits, a):
+        for a in range(0, len(asks), step):
+            some = asks[a : a + step]
+            if exact:
+                hits = [np.flatnonzero(near) for near in x[some] @ v.T >= least - 1e-4]
+            else:
+                hits = search(x[some].astype("f4"), v4, lists, start, BEAM, least - 1e-4)[0]
+            for q, h in zip(some, hits, strict=True):
                 h = h[v[h] @ x[q] >= least]  # in double precision
                 codes.append(q * n_rows + here[h[here[h] != q]])
         code = np.concatenate(codes)
         a, b = code // n_rows, code % n_rows
-        both = home[a]  # a link met from one end holds from the other
+        both = home[a] & home[b]  # a link met from one end holds from the other
         a, b = np.divmod(np.union1d(code, b[both] * n_rows + a[both]), n_rows)
         shards = np.stack([np.resize(s, max(map(len, pdf["shards"]))) for s in pdf["shards"]])
         first = np.zeros(len(a), bool)
@@ -236,7 +248,7 @@ def _range_search(rows: DataFrame, adjacency: DataFrame, least: float) -> DataFr
         on = (n > 0) | (label != np.arange(n_rows))
         return pd.DataFrame({"rep": rep[on], "n": n[on], "u": rep[on], "v": rep[label[on]]})
 
-    return parts.groupBy("label", "shard", "part").applyInPandas(run, "rep long, n long, u long, v long")
+    return parts.groupBy("label", "shard", "chunk", "part").applyInPandas(run, "rep long, n long, u long, v long")
 
 
 def brute_force(reps: DataFrame, queries: list, least: float) -> DataFrame:
@@ -251,7 +263,7 @@ def brute_force(reps: DataFrame, queries: list, least: float) -> DataFrame:
             for label, part in pdf.groupby("label", sort=False):
                 if own := by.get(label):
                     q = np.array([r["embedding"] for r in own], "f8")
-                    near = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ _unit(part).T >= least
+                    near = _unit(pd.DataFrame({"embedding": list(q)})) @ _unit(part).T >= least
                     near &= np.array([r["rep"] for r in own])[:, None] != part["rep"].to_numpy()[None, :]
                     yield pd.DataFrame({"rep": [r["rep"] for r in own], "truth": near @ part["many"].to_numpy()})
 
@@ -265,10 +277,9 @@ def _centroids(reps: DataFrame) -> dict[str, np.ndarray]:
         return {}
     labels = reps.sparkSession.createDataFrame([(x,) for x in sample["label"].unique().tolist()], "label string")
     size = {r["label"]: r["n"] for r in reps.groupBy("label").agg(F.count("*").alias("n")).join(F.broadcast(labels), "label").collect()}
-    total = sum(size.values())
     out = {}
     for label, part in sample.groupby("label"):
-        k = max(1, min(-(-size[label] * OVERLAP // SHARD), -(-CENTROIDS * size[label] // total), len(part) // 4))
+        k = max(1, min(-(-size[label] * OVERLAP // SHARD), len(part) // 4))
         out[label] = kmeans(_unit(part), k)
     return out
 
@@ -279,11 +290,12 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
     Vectors link when their labels are equal and not null and their cosine is at least `least`. A vector that is null,
     empty, zero, or has null or non-finite components, or whose label is null, links with nothing. Equal vectors of a
     label are searched once and count with their number; repeated rows are vectors of their own. component_id is the
-    smallest id reachable by links; a null id is never the smallest. Vectors must have one length per label. Other
+    smallest id reachable by links; a null id is never the smallest. Vectors of different lengths don't link. Other
     columns are not read. recall is null where no audited vector has a link.
     """
     spark = vectors.sparkSession
     v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vec_col).cast("array<double>").alias("embedding"))
+    v = v.withColumn("label", F.concat("label", F.lit(" "), F.size("embedding").cast("string")))
     v = v.withColumn("rep", F.when(_valid(F.col("embedding"), F.col("label")), F.xxhash64("label", "embedding")))
     reps = materialize(v.where("rep is not null").groupBy("label", "embedding", "rep").agg(F.count("*").alias("many"), F.min("vec_id").alias("least")))
     table = _centroids(reps)
@@ -296,9 +308,12 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
         adjacency = materialize(_adjacency(rows))
         found = materialize(_range_search(rows, adjacency, least))
         counted = found.groupBy("rep").agg(F.sum("n").alias("n"))
-        got, want = truth.join(counted, "rep", "left").agg(F.sum(F.coalesce("n", F.lit(0))), F.sum("truth")).first()
-        recall = got / want if want else None
-        if recall is None or recall >= TARGET or overlap >= widest:
+        recall = truth.where("truth > 0").join(counted, "rep", "left").agg(F.avg(F.coalesce("n", F.lit(0)) / F.col("truth"))).first()[0]
+        if recall is None or recall >= TARGET:
+            break
+        if overlap >= widest:  # every two vectors share a shard
+            found = materialize(_range_search(rows, adjacency, least, exact=True))
+            counted, recall = found.groupBy("rep").agg(F.sum("n").alias("n")), 1.0
             break
         overlap = min(widest, overlap * 2)
         for df in (rows, adjacency, found):
