@@ -145,7 +145,8 @@ def vote(index: BlockMaxIndex, near: list[tuple[float, int]], prior: float) -> f
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool-adjacent-violators fit of y by x: points for a piecewise linear, rising map."""
+    """Pool-adjacent-violators fit of y by x: points for a piecewise linear, rising map. Each pool has one more example
+    at the overall rate, so that a few examples never give 0 or 1."""
     order = np.argsort(x, kind="stable")
     pools: list[list[float]] = []  # sum, count, sum of x
     for a, b in zip(x[order], y[order], strict=True):
@@ -153,7 +154,8 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
             s, n, m = pools.pop()
             pools[-1] = [pools[-1][0] + s, pools[-1][1] + n, pools[-1][2] + m]
-    return np.array([m / n for _, n, m in pools]), np.array([(s + 0.5 * s / n) / (n + 0.5) for s, n, _ in pools])
+    rate = float(y.mean()) if len(y) else 0.0
+    return np.array([m / n for _, n, m in pools]), np.maximum.accumulate([(s + rate) / (n + 1) for s, n, _ in pools])
 
 
 SCORED = "doc_id long, score double, evidence array<struct<doc_id: long, cosine: double, toxic: int>>, _key long"
@@ -179,14 +181,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
     )
     known = F.broadcast(materialize(known))  # at most `examples` rows of two numbers
-    labelled = texts.join(known, "doc_id").withColumn("copy", F.xxhash64("text")).dropDuplicates(["copy"])
+    labelled = texts.join(known, "doc_id").withColumn("copy", F.xxhash64("text"))
+    labelled = labelled.groupBy("copy").agg(F.min_by(F.struct("doc_id", "toxic", "text"), "doc_id").alias("x")).select("x.*")
     labelled = materialize(labelled)  # copies of a text would count its chance words again and again
     terms = _select_terms(labelled)
     features = materialize(_features(texts, terms))
     n_docs = features.count()
     df = {r["t"]: r["n"] for r in features.select(F.explode("t").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()}
     idf = np.array([math.log((1 + n_docs) / (1 + df.get(i, 0))) + 1 for i in range(len(terms))])
-    rows = features.join(known, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "toxic", "t", "tf").collect()
+    # of several texts under an id the one whose features sort first stands for it
+    rows = features.join(known, "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("t", "tf")).alias("x")).select("doc_id", "toxic", "x.t", "x.tf").collect()
     rows.sort(key=lambda r: r["doc_id"])
     prior = sum(r["toxic"] for r in rows) / max(1, len(rows))
     bare = [r["toxic"] for r in rows if not r["t"]]
@@ -215,7 +219,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
 
     fit = None
     if rich:
-        own = scored(features.where(F.size("t") > 0).join(known.select("doc_id"), "doc_id").dropDuplicates(["doc_id"]), True, None)
+        chosen = features.where(F.size("t") > 0).join(known.select("doc_id"), "doc_id").groupBy("doc_id").agg(F.min(F.struct("t", "tf")).alias("x"))
+        own = scored(chosen.select("doc_id", "x.t", "x.tf", F.lit(None).cast("long").alias("_key")), True, None)
         truth = {r["doc_id"]: r["toxic"] for r in rich}
         pairs = [(r["score"], truth[r["doc_id"]]) for r in own.select("doc_id", "score").collect()]
         fit = isotonic(np.array([a for a, _ in pairs]), np.array([b for _, b in pairs], "f8"))

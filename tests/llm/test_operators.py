@@ -329,6 +329,37 @@ def test_near_duplicates(spark):
     assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == want and got[0]["recall"] == 1.0
 
 
+@pytest.mark.parametrize("target", [0.9, 1.1])
+def test_near_duplicates_shards(spark, monkeypatch, target):
+    """Many shards, shards of several parts, a dense group over all of them, odd lengths and extreme numbers."""
+    from frameyard.llm import embedding_dedup as e
+
+    monkeypatch.setattr(e, "SHARD", 24)
+    monkeypatch.setattr(e, "TARGET", target)  # over 1: the exact way at the end
+    rng = np.random.default_rng(14)
+    centre = rng.normal(size=(40, 8))
+    rows = [(i, 1, [float(x) for x in centre[i % 40] + rng.normal(size=8) * 0.15]) for i in range(320)]
+    rows += [(400 + i, 1, [float(x) for x in centre[0] + rng.normal(size=8) * 0.05]) for i in range(160)]
+    rows += [(600, 1, [1.0, 2.0]), (601, 1, [2.0, 4.0]), (602, 2, [1e-200, 1e-200]), (603, 2, [1.0, 0.1]), (604, 2, [1e200, 1e200]), (605, 2, [1e200, 1.1e200])]
+    unit = {i: np.array(x) / np.abs(x).max() for i, _, x in rows}
+    unit = {i: x / np.linalg.norm(x) for i, x in unit.items()}
+    label = {i: (y, len(x)) for i, y, x in rows}
+    links = [(a, b) for a in unit for b in unit if a < b and label[a] == label[b] and unit[a] @ unit[b] >= 0.93]
+    comp = brute.components(unit, links)
+    got = near_duplicates(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got}
+    want = {i: (sum(i in p for p in links), comp[i]) for i in unit}
+    assert got[0]["recall"] >= 0.9 and {i: found[i] for i in range(600, 606)} == {i: want[i] for i in range(600, 606)}
+    assert found == want if target > 1 else sum(n for n, _ in found.values()) >= 0.9 * sum(n for n, _ in want.values())
+
+
+def test_isotonic():
+    from frameyard.llm.toxicity import isotonic
+
+    x, y = isotonic(np.array([0.1, 0.2, 0.3, 0.9]), np.array([0.0, 1.0, 0.0, 1.0]))
+    assert (np.diff(x) > 0).all() and (np.diff(y) >= 0).all() and y[0] == 0.25 and y[-1] == 0.75
+
+
 def test_block_max_index():
     rng = np.random.default_rng(3)
     vectors = []
