@@ -20,7 +20,7 @@ def test_stages(spark):
         if name != "best_fit_packing":
             assert docs.columns == cols
         if name == "ngram_jaccard_join":
-            assert set(after) == {i for i, (_, c) in brute.jaccard(before.items()).items() if c == i}
+            assert set(after) == {i for i, (_, c) in brute.jaccard(before.items(), 80, 5).items() if c == i}
         if name == "benchmark_decontamination":
             assert set(after) == {i for i, t in before.items() if not brute.contamination(t, items)[4]}
         if name == "secret_scan":
@@ -48,6 +48,33 @@ def test_near_copies_odd_ids(spark):
     assert rows_of(corpus_pipeline.drop_near_copies(spark, only, "")) == sorted([(None, c), (None, d)], key=str)
 
 
+def test_near_copies_five_words(spark):
+    """Two words of a hundred changed: 86 of 106 five-word shingles agree, which is a near copy."""
+    w = [f"w{i}" for i in range(100)]
+    near = [*w[:30], "zz", *w[31:70], "yy", *w[71:]]
+    apart = [x if i % 20 else f"z{i}" for i, x in enumerate(w)]
+    docs = spark.createDataFrame([(3, " ".join(near)), (1, " ".join(w)), (2, " ".join(apart))], "doc_id long, text string")
+    assert [i for i, _ in rows_of(corpus_pipeline.drop_near_copies(spark, docs, ""))] == [1, 2]
+
+
+def test_stages_odd_tables(spark, tmp_path):
+    """Empty tables, null texts, and columns named like the stages' own."""
+    spark.createDataFrame([], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    cols = "doc_id long, text string, n_chars long, component_id long, _gone string, k long, label string, row int, _hash long, key string, order int"
+    rows = [(i, t, n, *[7] * 2, *[None] * 6) for i, t, n in ((1, None, None), (1, "", 0), (None, "token=abcdefgh1", None), (2, "plain words", 11))]
+    rows = [(*r[:4], "x", *r[5:]) for r in rows]
+    for data in (rows, []):
+        docs = spark.createDataFrame(data, cols)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            before = docs.count()
+            docs = materialize(stage(spark, docs, str(tmp_path)))
+            assert docs.columns == [c.split()[0] for c in cols.split(", ")] and docs.count() == before, name
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == len(data)
+        if data:
+            assert {(r["text"], r["n_chars"]) for r in docs.collect()} == {(None, None), ("", 0), ("[SECRET]", 8), ("plain words", 11)}
+
+
 def test_rejected_by_text(spark, tmp_path):
     """A contaminated or toxic text takes no other text of its id along."""
     item = "one two three four five six seven eight nine ten eleven twelve"
