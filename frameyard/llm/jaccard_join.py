@@ -27,8 +27,10 @@ from frameyard.llm.shingles import mix, shingle_set
 
 #: Rows of a block, n-grams of a block, pivots that the blocks of a group share, columns multiplied at a time.
 BLOCK_ROWS, BLOCK_GRAMS, PIVOTS, COLUMNS = 512, 600_000, 32, 4096
-#: Digests that a worker hands on at a time.
-EMIT = 200_000
+#: Digests that a worker hands on at a time, and sets that it remembers.
+EMIT, REMEMBER = 200_000, 500_000
+#: Up to so many blocks of a candidate group are laid against each other as they are.
+APART = 16
 
 
 def size_buckets(percent: int, upto: int = 1 << 40) -> list[int]:
@@ -81,21 +83,27 @@ def _profile(docs: DataFrame, n_gram: int) -> DataFrame:
 
 
 def _classes(docs: DataFrame, n_gram: int, percent: int) -> DataFrame:
-    """(h, k): the class digests of each text's set."""
+    """(h, k): the class digests of each text's set; a task hands them on once for a set that it meets again, as long as
+    it remembers it, so that copies of a set don't pile up under their digests."""
     edges = size_buckets(percent)
 
     def out(hs: list[np.ndarray], ks: list[np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view("i8")), pa.array(np.concatenate(ks))], names=["h", "k"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             hs, ks, n = [np.zeros(0, "u8")], [np.zeros(0, "i8")], 0
             for t in batch.column(1):
                 h = shingle_set(t.as_py(), n_gram)
-                if len(h):
+                k = xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)
+                if len(h) and k not in seen:
+                    seen.add(k)
                     hs.append(class_digests(h, percent, edges))
-                    ks.append(np.full(len(hs[-1]), xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63), "i8"))
+                    ks.append(np.full(len(hs[-1]), k, "i8"))
                     n += len(hs[-1])
+                if len(seen) > REMEMBER:
+                    seen.clear()
                 if n > EMIT:
                     yield out(hs, ks)
                     hs, ks, n = [np.zeros(0, "u8")], [np.zeros(0, "i8")], 0
@@ -166,9 +174,9 @@ def _multiply(rows: DataFrame, keys: list[str], n_gram: int, percent: int, sided
 
 
 def _narrowed(big: DataFrame, texts: DataFrame, n_gram: int, percent: int) -> DataFrame:
-    """big, rows (comp, k, n, at, label) of candidate groups of many blocks, with the groups that were brought together
-    by chains of digests taken apart again: into the rows under each digest, where that makes fewer pairs. Digests
-    under which all rows are of one label go; of digests with the same rows one stays."""
+    """big, rows (comp, k, n, at, label) of candidate groups of more than APART blocks, with the groups that were brought
+    together by chains of digests taken apart again: into the rows under each digest, where that makes fewer pairs.
+    Digests under which all rows are of one label go; of digests with the same rows one stays."""
     under = materialize(_classes(texts.select("doc_id", "text"), n_gram, percent).distinct().join(big.select(F.col("k").alias("bk"), "comp", "label"), F.col("k") == F.col("bk")))
     mark = F.xxhash64("k")
     groups = under.groupBy("comp", "h").agg(F.count("*").alias("m"), F.sum(mark % (1 << 31)).alias("s"), F.bit_xor(mark).alias("x"), F.min("label").alias("lo"), F.max("label").alias("hi"))
@@ -206,7 +214,12 @@ def _links(members: DataFrame, texts: DataFrame, n_gram: int, percent: int) -> D
     # groups of many blocks: what is one component already needs no more products
     labels = connected_components(first)
     big = materialize(big.join(labels.select(F.col("node").alias("k"), "component"), "k", "left").withColumn("label", F.coalesce("component", "k")))
-    big = materialize(_narrowed(big, with_text(big.select("k", "at")), n_gram, percent))
+    named = ["comp", "k", "n", "at", "label"]
+    mixed = big.groupBy("comp").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("comp")
+    big = materialize(big.join(mixed, "comp").select(*named, "blocks"))
+    wide = big.where(F.col("blocks") > APART).select(*named)
+    if wide.limit(1).count():
+        big = materialize(big.where(F.col("blocks") <= APART).select(*named).unionByName(_narrowed(wide, with_text(wide.select("k", "at")), n_gram, percent)))
     sizes = big.groupBy("comp", "label").agg(F.count("*").alias("size"), F.sum("n").alias("label_grams"))
     # a component with many rows has blocks of its own; the others of a group share blocks
     sizes = sizes.withColumn("mine", F.when((F.col("size") >= BLOCK_ROWS // 4) | (F.col("label_grams") >= BLOCK_GRAMS // 4), F.col("label")))
@@ -243,9 +256,9 @@ def jaccard_join(docs: DataFrame, n_gram: int = 3, percent: int = 90, id_col: st
     text = F.col(text_col).cast("binary")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t"))
     rows = materialize(_profile(texts, n_gram))
-    # copies of a set count once; within the sets of a digest each is tied to the least, in a window that spills
+    # within the rows of a digest each set is tied to the least; the window spills and needs no copy of the rows
     least = F.min("k").over(Window.partitionBy("h"))
-    star = _classes(texts, n_gram, percent).distinct().select("k", least.alias("v")).where("k <> v").select(F.col("k").alias("u"), "v")
+    star = _classes(texts, n_gram, percent).select("k", least.alias("v")).where("k <> v").select(F.col("k").alias("u"), "v")
     groups = connected_components(star)
     sets = rows.where("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "t")).alias("at"))
     members = materialize(sets.join(groups.select(F.col("node").alias("k"), F.col("component").alias("comp")), "k"))

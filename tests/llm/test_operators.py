@@ -179,6 +179,7 @@ def test_jaccard_footers(spark, monkeypatch):
 
     monkeypatch.setattr(j, "BLOCK_ROWS", 16)
     monkeypatch.setattr(j, "PIVOTS", 2)
+    monkeypatch.setattr(j, "APART", 1)
     rng = random.Random(13)
     footer = " ".join(f"f{i}" for i in range(60))
     rows = [(i, " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(rng.randint(3, 60))) + " " + footer) for i in range(150)]
