@@ -173,11 +173,11 @@ def _multiply(rows: DataFrame, keys: list[str], n_gram: int, percent: int, sided
     return rows.groupBy(*keys).applyInPandas(run, "u long, v long")
 
 
-def _narrowed(big: DataFrame, texts: DataFrame, n_gram: int, percent: int) -> DataFrame:
+def _narrowed(big: DataFrame, shared: DataFrame) -> DataFrame:
     """big, rows (comp, k, n, at, label) of candidate groups of more than APART blocks, with the groups that were brought
     together by chains of digests taken apart again: into the rows under each digest, where that makes fewer pairs.
     Digests under which all rows are of one label go; of digests with the same rows one stays."""
-    under = materialize(_classes(texts.select("doc_id", "text"), n_gram, percent).distinct().join(big.select(F.col("k").alias("bk"), "comp", "label"), F.col("k") == F.col("bk")))
+    under = materialize(shared.select("h", "k").distinct().join(big.select(F.col("k").alias("bk"), "comp", "label"), F.col("k") == F.col("bk")).drop("bk"))
     mark = F.xxhash64("k")
     groups = under.groupBy("comp", "h").agg(F.count("*").alias("m"), F.sum(mark % (1 << 31)).alias("s"), F.bit_xor(mark).alias("x"), F.min("label").alias("lo"), F.max("label").alias("hi"))
     groups = materialize(groups.where("lo <> hi").groupBy("comp", "m", "s", "x").agg(F.min("h").alias("g")))
@@ -191,9 +191,9 @@ def _narrowed(big: DataFrame, texts: DataFrame, n_gram: int, percent: int) -> Da
     return chosen.where("not take_apart").select("comp", "k", "n", "at", "label").unionByName(apart)
 
 
-def _links(members: DataFrame, texts: DataFrame, n_gram: int, percent: int) -> DataFrame:
+def _links(members: DataFrame, texts: DataFrame, shared: DataFrame, n_gram: int, percent: int) -> DataFrame:
     """All forests of links. members: (k, n, at, comp), materialized, one row per set in a candidate
-    group; at: the (doc_id, t) of one of its texts."""
+    group; at: the (doc_id, t) of one of its texts. shared: (h, k), the digests that different sets have."""
     groups = members.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("grams"))
     groups = groups.withColumn("blocks", F.greatest(F.ceil(F.col("m") / BLOCK_ROWS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int"))
     placed = materialize(members.join(groups, "comp"))
@@ -219,7 +219,7 @@ def _links(members: DataFrame, texts: DataFrame, n_gram: int, percent: int) -> D
     big = materialize(big.join(mixed, "comp").select(*named, "blocks"))
     wide = big.where(F.col("blocks") > APART).select(*named)
     if wide.limit(1).count():
-        big = materialize(big.where(F.col("blocks") <= APART).select(*named).unionByName(_narrowed(wide, with_text(wide.select("k", "at")), n_gram, percent)))
+        big = materialize(big.where(F.col("blocks") <= APART).select(*named).unionByName(_narrowed(wide, shared)))
     sizes = big.groupBy("comp", "label").agg(F.count("*").alias("size"), F.sum("n").alias("label_grams"))
     # a component with many rows has blocks of its own; the others of a group share blocks
     sizes = sizes.withColumn("mine", F.when((F.col("size") >= BLOCK_ROWS // 4) | (F.col("label_grams") >= BLOCK_GRAMS // 4), F.col("label")))
@@ -256,13 +256,13 @@ def jaccard_join(docs: DataFrame, n_gram: int = 3, percent: int = 90, id_col: st
     text = F.col(text_col).cast("binary")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t"))
     rows = materialize(_profile(texts, n_gram))
-    # within the rows of a digest each set is tied to the least; the window spills and needs no copy of the rows
-    least = F.min("k").over(Window.partitionBy("h"))
-    star = _classes(texts, n_gram, percent).select("k", least.alias("v")).where("k <> v").select(F.col("k").alias("u"), "v")
-    groups = connected_components(star)
+    # digests of one set say nothing; the window spills and needs no copy of the rows
+    under = Window.partitionBy("h")
+    shared = materialize(_classes(texts, n_gram, percent).select("h", "k", F.min("k").over(under).alias("v"), F.max("k").over(under).alias("w")).where("v <> w").drop("w"))
+    groups = connected_components(shared.where("k <> v").select(F.col("k").alias("u"), "v"))
     sets = rows.where("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "t")).alias("at"))
     members = materialize(sets.join(groups.select(F.col("node").alias("k"), F.col("component").alias("comp")), "k"))
-    links = _links(members, texts, n_gram, percent)
+    links = _links(members, texts, shared, n_gram, percent)
     roots = connected_components(links)
     classes = sets.join(roots.select(F.col("node").alias("k"), F.col("component").alias("root")), "k", "left").withColumn("root", F.coalesce("root", "k"))
     classes = materialize(classes)
