@@ -29,6 +29,8 @@ from frameyard.llm.shingles import mix, shingle_set
 BLOCK_ROWS, BLOCK_GRAMS, PIVOTS, COLUMNS = 512, 600_000, 32, 4096
 #: Digests that a worker hands on at a time, and sets that it remembers.
 EMIT, REMEMBER = 200_000, 500_000
+#: Up to so many rows under a digest are paired.
+FEW = 16
 #: Up to so many blocks of a candidate group are laid against each other as they are.
 APART = 16
 
@@ -41,32 +43,37 @@ def size_buckets(percent: int, upto: int = 1 << 40) -> list[int]:
     return edges
 
 
-def class_count(bucket: int, percent: int, edges: list[int]) -> tuple[int, int]:
-    """(classes, spare) of a size bucket. Linked sets differ in d n-grams at most, so of d + 1 + spare classes they have
-    more than `spare` in common; a set with no more empty classes than that meets its partners in one with members."""
+def class_count(bucket: int, percent: int, edges: list[int]) -> tuple[int, int, int]:
+    """(classes, spare, need) of a size bucket. Linked sets differ in d n-grams at most, so of d + spare + need classes
+    they have spare + need in common; unless both have more than `spare` empty ones, `need` of these have members."""
     differ = 2 * (edges[bucket + 1] - 1) * (100 - percent) // (100 + percent)
-    spare = 0
+    need, spare = 1 + differ // 8, 0
     if differ:
-        empty = (differ + 1) * math.exp(-edges[bucket] / (differ + 1))
+        empty = (differ + need) * math.exp(-edges[bucket] / (differ + need))
         spare = 1 + math.ceil(empty + 3 * math.sqrt(empty))
-    return differ + 1 + spare, spare
+    return differ + spare + need, spare, need
+
+
+#: Bits of a digest that name its size bucket.
+BUCKETS = 12
 
 
 def class_digests(h: np.ndarray, percent: int, edges: list[int]) -> np.ndarray:
-    """Digests of a set's classes, for its size bucket and the next one."""
+    """Digests of a set's classes, for its size bucket and the next one; the lowest bits are the bucket."""
     own = bisect_right(edges, len(h)) - 1
     out = []
     for bucket in (own, own + 1):
-        classes, spare = class_count(bucket, percent, edges)
+        classes, spare, _ = class_count(bucket, percent, edges)
         cls = (h % np.uint64(classes)).astype("i8")
         order = np.argsort(cls, kind="stable")
         first = np.flatnonzero(np.diff(cls[order], prepend=-1))
         total = np.add.reduceat(mix(h)[order], first)
         salt = np.uint64(bucket) << np.uint64(40)
-        out.append(mix(total ^ mix(salt + cls[order][first].astype("u8"))))
+        got = mix(total ^ mix(salt + cls[order][first].astype("u8")))
         if classes - len(first) > spare:  # rare: classes without members count as equal too
             empty = np.setdiff1d(np.arange(classes), cls).astype("u8")
-            out.append(mix(mix(salt + empty) + np.uint64(1)))
+            got = np.concatenate((got, mix(mix(salt + empty) + np.uint64(1))))
+        out.append(got >> np.uint64(BUCKETS) << np.uint64(BUCKETS) | np.uint64(bucket))
     return np.concatenate(out)
 
 
@@ -173,6 +180,18 @@ def _multiply(rows: DataFrame, keys: list[str], n_gram: int, percent: int, sided
     return rows.groupBy(*keys).applyInPandas(run, "u long, v long")
 
 
+def _candidates(shared: DataFrame, percent: int) -> DataFrame:
+    """Edges (u, v) between sets that may link, or are bound to share a group: under a digest of few rows, the pairs that
+    meet under as many digests as linked sets do; under the others, each row and the least."""
+    edges = size_buckets(percent)
+    need = F.array(*(F.lit(class_count(b, percent, edges)[2]) for b in range(len(edges) - 1)))
+    few = shared.where(F.col("m") <= FEW).select("h", "k").distinct()
+    pairs = few.select("h", F.col("k").alias("u")).join(few.select("h", F.col("k").alias("v")), "h").where("u > v")
+    bucket = F.col("h").bitwiseAND((1 << BUCKETS) - 1).cast("int")
+    met = pairs.groupBy("u", "v", bucket.alias("b")).agg(F.count("*").alias("n")).where(F.col("n") >= F.get(need, F.col("b"))).select("u", "v")
+    return met.unionByName(shared.where((F.col("m") > FEW) & (F.col("k") != F.col("v"))).select(F.col("k").alias("u"), "v"))
+
+
 def _narrowed(big: DataFrame, shared: DataFrame) -> DataFrame:
     """big, rows (comp, k, n, at, label) of candidate groups of more than APART blocks, with the groups that were brought
     together by chains of digests taken apart again: into the rows under each digest, where that makes fewer pairs.
@@ -258,8 +277,8 @@ def jaccard_join(docs: DataFrame, n_gram: int = 3, percent: int = 90, id_col: st
     rows = materialize(_profile(texts, n_gram))
     # digests of one set say nothing; the window spills and needs no copy of the rows
     under = Window.partitionBy("h")
-    shared = materialize(_classes(texts, n_gram, percent).select("h", "k", F.min("k").over(under).alias("v"), F.max("k").over(under).alias("w")).where("v <> w").drop("w"))
-    groups = connected_components(shared.where("k <> v").select(F.col("k").alias("u"), "v"))
+    shared = materialize(_classes(texts, n_gram, percent).select("h", "k", F.min("k").over(under).alias("v"), F.max("k").over(under).alias("w"), F.count("*").over(under).alias("m")).where("v <> w").drop("w"))
+    groups = connected_components(_candidates(shared, percent))
     sets = rows.where("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "t")).alias("at"))
     members = materialize(sets.join(groups.select(F.col("node").alias("k"), F.col("component").alias("comp")), "k"))
     links = _links(members, texts, shared, n_gram, percent)
