@@ -30,7 +30,7 @@ BLOCK_ROWS, BLOCK_GRAMS, PIVOTS, COLUMNS = 512, 600_000, 32, 4096
 #: Digests that a worker hands on at a time, and sets that it remembers.
 EMIT, REMEMBER = 200_000, 500_000
 #: Up to so many rows under a digest are paired.
-FEW = 16
+FEW = 8
 #: Up to so many blocks of a candidate group are laid against each other as they are.
 APART = 16
 
@@ -185,10 +185,13 @@ def _candidates(shared: DataFrame, percent: int) -> DataFrame:
     meet under as many digests as linked sets do; under the others, each row and the least."""
     edges = size_buckets(percent)
     need = F.array(*(F.lit(class_count(b, percent, edges)[2]) for b in range(len(edges) - 1)))
-    few = shared.where(F.col("m") <= FEW).select("h", "k").distinct()
-    pairs = few.select("h", F.col("k").alias("u")).join(few.select("h", F.col("k").alias("v")), "h").where("u > v")
     bucket = F.col("h").bitwiseAND((1 << BUCKETS) - 1).cast("int")
-    met = pairs.groupBy("u", "v", bucket.alias("b")).agg(F.count("*").alias("n")).where(F.col("n") >= F.get(need, F.col("b"))).select("u", "v")
+    few = shared.where(F.col("m") <= FEW).select("h", "k").distinct().withColumn("need", F.get(need, bucket))
+    # a set under fewer such digests than that has no such partner; as many rows as a text has digests
+    few = few.withColumn("own", F.count("*").over(Window.partitionBy("k", bucket))).where(F.col("own") >= F.col("need"))
+    few = materialize(few.select("h", "k", "need"))
+    pairs = few.withColumnRenamed("k", "u").join(few.select("h", F.col("k").alias("v")), "h").where("u > v")
+    met = pairs.groupBy("u", "v", bucket.alias("b")).agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("u", "v")
     return met.unionByName(shared.where((F.col("m") > FEW) & (F.col("k") != F.col("v"))).select(F.col("k").alias("u"), "v"))
 
 
