@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameyard.llm.common import bounded_broadcast, connected_components, materialize
@@ -180,26 +180,39 @@ def _multiply(rows: DataFrame, keys: list[str], n_gram: int, percent: int, sided
     return rows.groupBy(*keys).applyInPandas(run, "u long, v long")
 
 
-def _candidates(shared: DataFrame, percent: int) -> DataFrame:
+def _bucket() -> Column:
+    return F.col("h").bitwiseAND((1 << BUCKETS) - 1).cast("int")
+
+
+def _enough(under: DataFrame) -> DataFrame:
+    """The rows (h, k, need, ...) of sets that stand under as many of these digests of a bucket as linked sets share."""
+    own = F.count("*").over(Window.partitionBy("k", _bucket()))  # as many rows as a text has digests
+    return under.withColumn("own", own).where("own >= need").drop("own")
+
+
+def _candidates(shared: DataFrame) -> DataFrame:
     """Edges (u, v) between sets that may link, or are bound to share a group: under a digest of few rows, the pairs that
     meet under as many digests as linked sets do; under the others, each row and the least."""
-    edges = size_buckets(percent)
-    need = F.array(*(F.lit(class_count(b, percent, edges)[2]) for b in range(len(edges) - 1)))
-    bucket = F.col("h").bitwiseAND((1 << BUCKETS) - 1).cast("int")
-    few = shared.where(F.col("m") <= FEW).select("h", "k").distinct().withColumn("need", F.get(need, bucket))
-    # a set under fewer such digests than that has no such partner; as many rows as a text has digests
-    few = few.withColumn("own", F.count("*").over(Window.partitionBy("k", bucket))).where(F.col("own") >= F.col("need"))
-    few = materialize(few.select("h", "k", "need"))
+    few = materialize(_enough(shared.where(F.col("m") <= FEW).select("h", "k", "need")))
     pairs = few.withColumnRenamed("k", "u").join(few.select("h", F.col("k").alias("v")), "h").where("u > v")
-    met = pairs.groupBy("u", "v", bucket.alias("b")).agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("u", "v")
+    met = pairs.groupBy("u", "v", _bucket().alias("b")).agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("u", "v")
     return met.unionByName(shared.where((F.col("m") > FEW) & (F.col("k") != F.col("v"))).select(F.col("k").alias("u"), "v"))
 
 
+def _restless(big: DataFrame, shared: DataFrame) -> DataFrame:
+    """The rows of big that may link with a row of another label: those with enough digests that rows of different
+    labels have."""
+    under = shared.join(big.select(F.col("k").alias("bk"), "label"), F.col("k") == F.col("bk"))
+    each = Window.partitionBy("h")
+    under = under.select("h", "k", "need", F.min("label").over(each).alias("lo"), F.max("label").over(each).alias("hi")).where("lo <> hi")
+    return big.join(_enough(under.select("h", "k", "need")).select("k").distinct(), "k", "left_semi")
+
+
 def _narrowed(big: DataFrame, shared: DataFrame) -> DataFrame:
     """big, rows (comp, k, n, at, label) of candidate groups of more than APART blocks, with the groups that were brought
     together by chains of digests taken apart again: into the rows under each digest, where that makes fewer pairs.
     Digests under which all rows are of one label go; of digests with the same rows one stays."""
-    under = materialize(shared.select("h", "k").distinct().join(big.select(F.col("k").alias("bk"), "comp", "label"), F.col("k") == F.col("bk")).drop("bk"))
+    under = materialize(shared.select("h", "k").join(big.select(F.col("k").alias("bk"), "comp", "label"), F.col("k") == F.col("bk")).drop("bk"))
     mark = F.xxhash64("k")
     groups = under.groupBy("comp", "h").agg(F.count("*").alias("m"), F.sum(mark % (1 << 31)).alias("s"), F.bit_xor(mark).alias("x"), F.min("label").alias("lo"), F.max("label").alias("hi"))
     groups = materialize(groups.where("lo <> hi").groupBy("comp", "m", "s", "x").agg(F.min("h").alias("g")))
@@ -237,6 +250,7 @@ def _links(members: DataFrame, texts: DataFrame, shared: DataFrame, n_gram: int,
     labels = connected_components(first)
     big = materialize(big.join(labels.select(F.col("node").alias("k"), "component"), "k", "left").withColumn("label", F.coalesce("component", "k")))
     named = ["comp", "k", "n", "at", "label"]
+    big = materialize(_restless(big, shared).select(*named, "blocks"))
     mixed = big.groupBy("comp").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("comp")
     big = materialize(big.join(mixed, "comp").select(*named, "blocks"))
     wide = big.where(F.col("blocks") > APART).select(*named)
@@ -280,8 +294,11 @@ def jaccard_join(docs: DataFrame, n_gram: int = 3, percent: int = 90, id_col: st
     rows = materialize(_profile(texts, n_gram))
     # digests of one set say nothing; the window spills and needs no copy of the rows
     under = Window.partitionBy("h")
-    shared = materialize(_classes(texts, n_gram, percent).select("h", "k", F.min("k").over(under).alias("v"), F.max("k").over(under).alias("w"), F.count("*").over(under).alias("m")).where("v <> w").drop("w"))
-    groups = connected_components(_candidates(shared, percent))
+    edges = size_buckets(percent)
+    need = F.array(*(F.lit(class_count(b, percent, edges)[2]) for b in range(len(edges) - 1)))
+    shared = _classes(texts, n_gram, percent).select("h", "k", F.min("k").over(under).alias("v"), F.max("k").over(under).alias("w"), F.count("*").over(under).alias("m"))
+    shared = materialize(_enough(shared.where("v <> w").select("h", "k", "v", "m").distinct().withColumn("need", F.get(need, _bucket()))))
+    groups = connected_components(_candidates(shared))
     sets = rows.where("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "t")).alias("at"))
     members = materialize(sets.join(groups.select(F.col("node").alias("k"), F.col("component").alias("comp")), "k"))
     links = _links(members, texts, shared, n_gram, percent)
