@@ -33,6 +33,8 @@ EMIT, REMEMBER = 200_000, 500_000
 FEW = 8
 #: Up to so many blocks of a candidate group are laid against each other as they are.
 APART = 16
+#: The room of a block, in units of which each set takes some.
+ROOM = 1 << 30
 
 
 def size_buckets(percent: int, upto: int = 1 << 40) -> list[int]:
@@ -226,14 +228,35 @@ def _narrowed(big: DataFrame, shared: DataFrame) -> DataFrame:
     return chosen.where("not take_apart").select("comp", "k", "n", "at", "label").unionByName(apart)
 
 
+def _room(rows: int, grams: int) -> Column:
+    """What a set of n n-grams takes of the room of a block of so many rows and n-grams."""
+    return F.greatest(F.lit(ROOM // rows).cast("long"), F.ceil(F.col("n") * (ROOM / grams)).cast("long"))
+
+
+def _by_size(sets: DataFrame, keys: list[str], rows: int, grams: int) -> DataFrame:
+    """sets (k, n, keys) with part, a block of their group: blocks follow each other by the size of sets, so that most
+    blocks of a group are too far apart in size for a link. Places come from a histogram of sizes; no group is sorted."""
+    bin_ = F.floor(F.log(F.col("n").cast("double")) * 20).cast("int")
+    bins = sets.groupBy(*keys, bin_.alias("bin")).agg(F.sum(_room(rows, grams)).alias("wide"))
+    before = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.withColumn("start", F.coalesce(F.sum("wide").over(before), F.lit(0)))
+    bins = bins.select(*(F.col(c).alias(f"_{c}") for c in keys), F.col("bin").alias("_bin"), "wide", "start")
+    same = bin_ == F.col("_bin")
+    for c in keys:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    place = F.col("start") + F.pmod(F.xxhash64("k", F.lit(2)), F.col("wide"))
+    found = sets.join(bounded_broadcast(materialize(bins)), same)
+    return found.select(*sets.columns, F.floor(place / ROOM).cast("long").alias("part"))
+
+
 def _links(members: DataFrame, texts: DataFrame, shared: DataFrame, n_gram: int, percent: int) -> DataFrame:
     """All forests of links. members: (k, n, at, comp), materialized, one row per set in a candidate
     group; at: the (doc_id, t) of one of its texts. shared: (h, k), the digests that different sets have."""
-    groups = members.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("grams"))
-    groups = groups.withColumn("blocks", F.greatest(F.ceil(F.col("m") / BLOCK_ROWS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int"))
-    placed = materialize(members.join(groups, "comp"))
+    groups = members.groupBy("comp").agg(F.count("*").alias("m"), F.ceil(F.sum(_room(BLOCK_ROWS, BLOCK_GRAMS)) / ROOM).alias("blocks"))
+    placed = members.join(groups, "comp")
     many = F.col("blocks") > 1
-    own = F.when(many, F.pmod(F.xxhash64("k"), F.col("blocks"))).otherwise(F.lit(0).cast("long"))
+    placed = materialize(placed.where(~many).withColumn("part", F.lit(0).cast("long")).unionByName(_by_size(placed.where(many), ["comp"], BLOCK_ROWS, BLOCK_GRAMS)))
+    own = F.col("part")
     pivot = many & (F.pmod(F.xxhash64("k", F.lit(1)), F.ceil(F.col("m") / PIVOTS)) == 0)
     homes = F.when(pivot, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(own))
     dealt = placed.select("comp", "k", "at", F.explode(homes).alias("block"))
@@ -259,11 +282,8 @@ def _links(members: DataFrame, texts: DataFrame, shared: DataFrame, n_gram: int,
     sizes = big.groupBy("comp", "label").agg(F.count("*").alias("size"), F.sum("n").alias("label_grams"))
     # a component with many rows has blocks of its own; the others of a group share blocks
     sizes = sizes.withColumn("mine", F.when((F.col("size") >= BLOCK_ROWS // 4) | (F.col("label_grams") >= BLOCK_GRAMS // 4), F.col("label")))
-    per = sizes.groupBy("comp", "mine").agg(F.sum("size").alias("all"), F.sum("label_grams").alias("all_grams"))
-    half = F.greatest(F.ceil(F.col("all") / (BLOCK_ROWS // 2)), F.ceil(F.col("all_grams") / (BLOCK_GRAMS // 2)))
-    per = per.withColumn("parts", half).withColumnRenamed("comp", "c").withColumnRenamed("mine", "mn")
-    spread = big.join(sizes.select("comp", "label", "mine"), ["comp", "label"]).join(per, (F.col("comp") == F.col("c")) & F.col("mine").eqNullSafe(F.col("mn")))
-    spread = materialize(spread.select("comp", "k", "n", "at", "mine", F.pmod(F.xxhash64("k", F.lit(2)), F.col("parts")).alias("part")))
+    owned = materialize(big.join(sizes.select("comp", "label", "mine"), ["comp", "label"]).select("comp", "k", "n", "at", "mine"))
+    spread = materialize(_by_size(owned, ["comp", "mine"], BLOCK_ROWS // 2, BLOCK_GRAMS // 2))
     blocks = spread.groupBy("comp", "mine", "part").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     blocks = materialize(blocks.withColumn("id", F.xxhash64("mine", "part")))
     a, b = (blocks.select("comp", *(F.col(c).alias(f"{c}_{s}") for c in ("mine", "part", "lo", "hi", "id"))) for s in "ab")
