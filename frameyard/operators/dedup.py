@@ -72,23 +72,25 @@ def count_matches(pairs: DataFrame, k: int = 2) -> DataFrame:
 
 
 def dedupe_exact(df: DataFrame, key: str, order: list[str], eligible=None) -> DataFrame:
-    """Of the eligible rows with a key the first is selected; the others are duplicates; rows not eligible block none."""
+    """Of the eligible rows with a key the first is selected; the others are duplicates; rows not eligible block none.
+    Eligible rows without a key are selected, each for itself."""
     ok = F.lit(True) if eligible is None else eligible
-    rank = F.row_number().over(Window.partitionBy(key, ok).orderBy(*order))
-    return df.withColumn("selected", ok & (rank == 1)).withColumn("duplicate", ok & (rank > 1))
+    bare = F.col(key).isNull()
+    apart = F.when(bare, F.xxhash64(*order))  # rows without a key need not meet in one task
+    rank = F.row_number().over(Window.partitionBy(key, ok, apart).orderBy(*order))
+    return df.withColumn("_rank", F.when(bare, 1).otherwise(rank)).withColumn("selected", ok & (F.col("_rank") == 1)).withColumn("duplicate", ok & (F.col("_rank") > 1)).drop("_rank")
 
 
-def greedy_select(rows: DataFrame, edges: DataFrame, k: int = 2, rounds: int = 200) -> DataFrame:
+def greedy_select(rows: DataFrame, edges: DataFrame, k: int = 2) -> DataFrame:
     """Walk rows (rank) in order; a row is accepted unless an accepted earlier neighbour of kind A exists, or k of
     kind B. edges: (a, b, kind) with ranks a < b, kind 'A' or 'B'. In each round every row whose earlier neighbours are
-    all decided is decided; rows without edges are decided at once. Adds accepted."""
+    all decided is decided, the least open one at any rate, so that chains of any length end; rows without edges are
+    decided at once. Adds accepted."""
     into = materialize(edges.select("a", "b", "kind").distinct())
     targets = into.select(F.col("b").alias("rank")).distinct()
     open_ = materialize(targets)
     done = materialize(into.select(F.col("a").alias("rank")).distinct().join(targets, "rank", "left_anti").withColumn("ok", F.lit(True)))
-    for _ in range(rounds):
-        if not open_.limit(1).count():
-            break
+    while open_.limit(1).count():
         known = done.select(F.col("rank").alias("a"), "ok")
         state = (
             into.join(open_.select(F.col("rank").alias("b")), "b").join(known, "a", "left")
@@ -106,8 +108,6 @@ def greedy_select(rows: DataFrame, edges: DataFrame, k: int = 2, rounds: int = 2
         for old in (done, open_, new):
             release(old)
         done, open_ = nxt_done, nxt_open
-    else:
-        raise RuntimeError("the conflicts are deeper than the rounds allowed")
     return rows.join(done, "rank", "left").withColumn("accepted", F.coalesce("ok", F.lit(True))).drop("ok")
 
 

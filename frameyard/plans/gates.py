@@ -74,9 +74,9 @@ def c3b(x: Inputs) -> DataFrame:
     return x.table("events").select("event_id", candidates.payload_url("props", "murl", "k").alias("url"))
 
 
-@query("c4_filter_queries", "SELECT n_nationkey, n_name FROM nation WHERE contains(lower(n_name), 'an') ORDER BY n_nationkey LIMIT 5")
+@query("c4_filter_queries", "SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'ring') ORDER BY p_partkey LIMIT 5")
 def c4(x: Inputs) -> DataFrame:
-    return candidates.filter_queries(x.table("nation"), "AN", 5, "n_name", "n_nationkey").select("n_nationkey", "n_name")
+    return candidates.filter_queries(x.table("part"), "RING", 5, "p_name", "p_partkey").select("p_partkey", "p_name")
 
 
 @query("c5_query_matrix", "SELECT p_brand AS model, r_name AS view, p_brand || ' ' || r_name AS query FROM (SELECT DISTINCT p_brand FROM part) CROSS JOIN region")
@@ -260,10 +260,10 @@ def d6(x: Inputs) -> DataFrame:
     return gates_quota(ranked, x).select("event_id", "outcome")
 
 
-@query("r2_quota_progress", f"""WITH q(view, target) AS (VALUES {QUOTA_SQL}), a AS (SELECT event_type AS view, count(*) AS n FROM events WHERE event_id % 20 = 0 GROUP BY 1)
+@query("r2_quota_progress", f"""WITH q(view, target) AS (VALUES {QUOTA_SQL}), a AS (SELECT event_type AS view, count(*) AS n FROM events GROUP BY 1)
 SELECT view, n AS accepted, target, greatest(0, target - n) AS remaining, repeat('#', CAST(least(30, floor(30 * n / greatest(target, 1))) AS INTEGER)) AS bar FROM q JOIN a USING (view)""")
 def r2(x: Inputs) -> DataFrame:
-    n = x.table("events").where("event_id % 20 = 0").groupBy(F.col("event_type").alias("view")).agg(F.count("*").alias("accepted"))
+    n = x.table("events").groupBy(F.col("event_type").alias("view")).agg(F.count("*").alias("accepted"))
     return reports.quota_progress(_quota(x).drop("accepted").join(n, "view"))
 
 

@@ -303,3 +303,11 @@ def test_files(spark, tmp_path):
 def test_reports(spark):
     q = spark.createDataFrame([("front", 2, 5000), ("full", 9, 5)], "view string, accepted int, target int")
     assert [(r["remaining"], len(r["bar"])) for r in reports.quota_progress(q).orderBy("view").collect()] == [(4998, 0), (0, 30)]
+
+
+def test_dedupe_exact_without_keys(spark):
+    rows = [(1, "a", True), (2, "a", True), (3, None, True), (4, None, True), (5, None, False), (6, "b", False), (7, "b", True)]
+    out = dedup.dedupe_exact(spark.createDataFrame(rows, "id int, sha string, ok boolean"), "sha", ["id"], F.col("ok"))
+    assert out.columns == ["id", "sha", "ok", "selected", "duplicate"]
+    assert {r["id"] for r in out.collect() if r["selected"]} == {1, 3, 4, 7}
+    assert {r["id"] for r in out.collect() if r["duplicate"]} == {2}
