@@ -1,18 +1,16 @@
 """N-gram Jaccard join by a blocked sparse matrix product.
 
-Texts with equal sets of n-grams are one row of the incidence matrix. The sizes of two sets bound by how many n-grams
-they may differ and still link. N-grams are dealt into one class more than that, by hash, so that in some class a
-linked pair has equal n-grams: equal digests of a class bring rows into one candidate group. The groups are cut into
-blocks of rows, and each block multiplies its incidence matrix with itself, a stretch of columns at a time, adding up
-overlap counts and discarding pairs that can no longer reach the bound given by their sizes. A block returns a spanning
-forest of its links, not its pairs. Groups of many blocks share pivots; after that only blocks with rows of different
-components are laid against each other.
+Texts with equal sets of n-grams are one row of the incidence matrix. Its columns are ordered from rare to frequent by a
+sketch of counts; the size of a set bounds how many of its n-grams a linked set may lack, so if the first n-grams of each
+set are some more than that, linked sets have as many in common among them. Sets that do are candidates. The candidate
+groups are cut into blocks of rows, and each block multiplies its incidence matrix with itself, a stretch of columns at a
+time, adding up overlap counts and discarding pairs that can no longer reach the bound given by their sizes. A block
+returns a spanning forest of its links, not its pairs. Groups of many blocks share pivots; after that only blocks with rows
+of different components are laid against each other.
 """
 
 from __future__ import annotations
 
-import math
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +25,13 @@ from frameyard.llm.shingles import mix, shingle_set
 
 #: Rows of a block, n-grams of a block, pivots that the blocks of a group share, columns multiplied at a time.
 BLOCK_ROWS, BLOCK_GRAMS, PIVOTS, COLUMNS = 512, 600_000, 32, 4096
-#: Digests that a worker hands on at a time, and sets that it remembers.
+#: Cells of the sketch (a power of two; about 2 MB to each worker), and the least count of a frequent cell.
+CELLS, FREQUENT = 1 << 21, 16
+#: Of so many n-grams of a set one more is among the first; so linked sets have about as many first ones in common.
+SPARE = 10
+#: First n-grams that a worker hands on at a time, and sets that it remembers.
 EMIT, REMEMBER = 200_000, 500_000
-#: Up to so many rows under a digest are paired.
+#: Up to so many rows under an n-gram are paired.
 FEW = 8
 #: Up to so many blocks of a candidate group are laid against each other as they are.
 APART = 16
@@ -37,64 +39,83 @@ APART = 16
 ROOM = 1 << 30
 
 
-def size_buckets(percent: int, upto: int = 1 << 40) -> list[int]:
-    """First sizes of buckets so wide that linked sets lie in one bucket or in two neighbours."""
-    edges = [1]
-    while edges[-1] <= upto:
-        edges.append(edges[-1] * 100 // percent + 1)
-    return edges
-
-
-def class_count(bucket: int, percent: int, edges: list[int]) -> tuple[int, int, int]:
-    """(classes, spare, need) of a size bucket. Linked sets differ in d n-grams at most, so of d + spare + need classes
-    they have spare + need in common; unless both have more than `spare` empty ones, `need` of these have members."""
-    differ = 2 * (edges[bucket + 1] - 1) * (100 - percent) // (100 + percent)
-    need, spare = 1 + differ // 8, 0
-    if differ:
-        empty = (differ + need) * math.exp(-edges[bucket] / (differ + need))
-        spare = 1 + math.ceil(empty + 3 * math.sqrt(empty))
-    return differ + spare + need, spare, need
-
-
-#: Bits of a digest that name its size bucket.
-BUCKETS = 12
-
-
-def class_digests(h: np.ndarray, percent: int, edges: list[int]) -> np.ndarray:
-    """Digests of a set's classes, for its size bucket and the next one; the lowest bits are the bucket."""
-    own = bisect_right(edges, len(h)) - 1
-    out = []
-    for bucket in (own, own + 1):
-        classes, spare, _ = class_count(bucket, percent, edges)
-        cls = (h % np.uint64(classes)).astype("i8")
-        order = np.argsort(cls, kind="stable")
-        first = np.flatnonzero(np.diff(cls[order], prepend=-1))
-        total = np.add.reduceat(mix(h)[order], first)
-        salt = np.uint64(bucket) << np.uint64(40)
-        got = mix(total ^ mix(salt + cls[order][first].astype("u8")))
-        if classes - len(first) > spare:  # rare: classes without members count as equal too
-            empty = np.setdiff1d(np.arange(classes), cls).astype("u8")
-            got = np.concatenate((got, mix(mix(salt + empty) + np.uint64(1))))
-        out.append(got >> np.uint64(BUCKETS) << np.uint64(BUCKETS) | np.uint64(bucket))
-    return np.concatenate(out)
+def _cells(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(65 - CELLS.bit_length())).astype("i8")
 
 
 def _profile(docs: DataFrame, n_gram: int) -> DataFrame:
-    """(doc_id, t, k, n): a digest of each text, one of its set, and the set's size."""
+    """(doc_id, t, k, n, cell): a digest of each text, one of its set, and the set's size; besides, where cell is not null,
+    k counts n-grams in a cell of the sketch. A task tells only the cells that stand out among its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "t", "k", "n", "cell"]
+        counts = np.zeros(CELLS, "i4")
         for batch in batches:
             sets = [shingle_set(t.as_py(), n_gram) for t in batch.column(1)]
             k = [xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63) for h in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(k, pa.int64()), pa.array([len(h) for h in sets], pa.int32())], names=["doc_id", "t", "k", "n"])
+            for h in sets:
+                np.add.at(counts, _cells(h), 1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(k, pa.int64()), pa.array([len(h) for h in sets], pa.int32()), pa.nulls(len(k), pa.int32())], names=names
+            )
+        mean = counts.mean()
+        top = np.flatnonzero(counts > mean + 2 * mean**0.5 + 1)
+        for at in range(0, len(top), EMIT):
+            cell = top[at : at + EMIT]
+            none = pa.nulls(len(cell), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(counts[cell].astype("i8")), pa.nulls(len(cell), pa.int32()), pa.array(cell.astype("i4"))], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, t long, k long, n int")
+    return docs.mapInArrow(run, "doc_id long, t long, k long, n int, cell int")
 
 
-def _classes(docs: DataFrame, n_gram: int, percent: int) -> DataFrame:
-    """(h, k): the class digests of each text's set; a task hands them on once for a set that it meets again, as long as
-    it remembers it, so that copies of a set don't pile up under their digests."""
-    edges = size_buckets(percent)
+def _levels(profile: DataFrame) -> np.ndarray:
+    """For each cell of the sketch how frequent its n-grams are, in half powers of two; 0 if not frequent. At most CELLS
+    rows come to the driver. Any levels give the right links; good ones keep frequent passages from making candidates."""
+    told = profile.where("cell IS NOT NULL").groupBy("cell").agg(F.sum("k").alias("c")).where(F.col("c") >= FREQUENT).toPandas()
+    levels = np.zeros(CELLS, "u1")
+    levels[told["cell"].to_numpy("i8")] = 2 * np.log2(told["c"].to_numpy("f8"))
+    return levels
+
+
+def first_grams(h: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
+    """The first n-grams of a set, from rare to frequent: as many as a linked set may lack, and one in SPARE more. The
+    least of what two linked sets have in common, as many as the smaller spare, are among the first ones of both."""
+    lack = len(h) - -(-percent * len(h) // 100)
+    return h[np.argsort(levels[_cells(h)], kind="stable")[: lack + max(1, len(h) // SPARE)]]
+
+
+def _need(percent: int) -> Column:
+    """How many first n-grams a set of n has in common with any linked set, which has n * percent / 100 at least."""
+    return F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) / SPARE)).cast("int")
+
+
+def _meeting(firsts: DataFrame) -> DataFrame:
+    """The rows (h, k) of n-grams that different sets have, with v, the least of these; the window spills, and an n-gram's
+    rows need not fit into memory."""
+    under = Window.partitionBy("h")
+    kept = [c for c in firsts.columns if c not in ("v", "m")]
+    return firsts.select(*kept, F.min("k").over(under).alias("v"), F.max("k").over(under).alias("w"), F.count("*").over(under).alias("m")).where("v <> w").drop("w")
+
+
+def _enough(under: DataFrame) -> DataFrame:
+    """The rows (k, need, ...) of sets that have as many rows here as linked sets have first n-grams in common."""
+    return under.withColumn("own", F.count("*").over(Window.partitionBy("k"))).where("own >= need").drop("own")
+
+
+def _shared(firsts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(h, k, need, v, m): of the first n-grams those that m different sets have, v the least of them; only of sets that
+    have enough of these. What other sets fall short of may leave more sets short, so this is done twice."""
+    sizes = sets.select(F.col("k").alias("sk"), _need(percent).alias("need"))
+    shared = _meeting(firsts).select("h", "k").distinct()
+    shared = materialize(_enough(shared.join(sizes, F.col("k") == F.col("sk")).drop("sk")))
+    shared = materialize(_enough(_meeting(shared)).select("h", "k", "need"))
+    return materialize(_meeting(shared))
+
+
+def _firsts(docs: DataFrame, n_gram: int, percent: int, levels: np.ndarray) -> DataFrame:
+    """(h, k): the first n-grams of each text's set; a task hands them on once for a set that it meets again, as long as
+    it remembers it, so that copies of a set don't pile up under their n-grams."""
+    held = docs.sparkSession.sparkContext.broadcast(levels)
 
     def out(hs: list[np.ndarray], ks: list[np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view("i8")), pa.array(np.concatenate(ks))], names=["h", "k"])
@@ -108,7 +129,7 @@ def _classes(docs: DataFrame, n_gram: int, percent: int) -> DataFrame:
                 k = xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)
                 if len(h) and k not in seen:
                     seen.add(k)
-                    hs.append(class_digests(h, percent, edges))
+                    hs.append(first_grams(h, held.value, percent))
                     ks.append(np.full(len(hs[-1]), k, "i8"))
                     n += len(hs[-1])
                 if len(seen) > REMEMBER:
@@ -182,38 +203,28 @@ def _multiply(rows: DataFrame, keys: list[str], n_gram: int, percent: int, sided
     return rows.groupBy(*keys).applyInPandas(run, "u long, v long")
 
 
-def _bucket() -> Column:
-    return F.col("h").bitwiseAND((1 << BUCKETS) - 1).cast("int")
-
-
-def _enough(under: DataFrame) -> DataFrame:
-    """The rows (h, k, need, ...) of sets that stand under as many of these digests of a bucket as linked sets share."""
-    own = F.count("*").over(Window.partitionBy("k", _bucket()))  # as many rows as a text has digests
-    return under.withColumn("own", own).where("own >= need").drop("own")
-
-
 def _candidates(shared: DataFrame) -> DataFrame:
-    """Edges (u, v) between sets that may link, or are bound to share a group: under a digest of few rows, the pairs that
-    meet under as many digests as linked sets do; under the others, each row and the least."""
-    few = materialize(_enough(shared.where(F.col("m") <= FEW).select("h", "k", "need")))
-    pairs = few.withColumnRenamed("k", "u").join(few.select("h", F.col("k").alias("v")), "h").where("u > v")
-    met = pairs.groupBy("u", "v", _bucket().alias("b")).agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("u", "v")
-    return met.unionByName(shared.where((F.col("m") > FEW) & (F.col("k") != F.col("v"))).select(F.col("k").alias("u"), "v"))
+    """Edges (u, v) between sets that may link, or are bound to share a group: under n-grams of few rows, the pairs that
+    meet as often as linked sets do; under the others, each row and the least."""
+    few = shared.where(F.col("m") <= FEW)
+    a, b = (few.select("h", F.col("k").alias(k), F.col("need").alias(f"need_{k}")) for k in "uv")
+    pairs = a.join(b, "h").where("u > v").groupBy("u", "v").agg(F.count("*").alias("met"), F.max(F.greatest("need_u", "need_v")).alias("need"))
+    return pairs.where("met >= need").select("u", "v").unionByName(shared.where((F.col("m") > FEW) & (F.col("k") != F.col("v"))).select(F.col("k").alias("u"), "v"))
 
 
 def _restless(big: DataFrame, shared: DataFrame) -> DataFrame:
-    """The rows of big that may link with a row of another label: those with enough digests that rows of different
+    """The rows of big that may link with a row of another label: those with enough first n-grams that rows of different
     labels have."""
     under = shared.join(big.select(F.col("k").alias("bk"), "label"), F.col("k") == F.col("bk"))
     each = Window.partitionBy("h")
-    under = under.select("h", "k", "need", F.min("label").over(each).alias("lo"), F.max("label").over(each).alias("hi")).where("lo <> hi")
-    return big.join(_enough(under.select("h", "k", "need")).select("k").distinct(), "k", "left_semi")
+    under = under.select("k", "need", F.min("label").over(each).alias("lo"), F.max("label").over(each).alias("hi")).where("lo <> hi")
+    return big.join(_enough(under).select("k").distinct(), "k", "left_semi")
 
 
 def _narrowed(big: DataFrame, shared: DataFrame) -> DataFrame:
     """big, rows (comp, k, n, at, label) of candidate groups of more than APART blocks, with the groups that were brought
-    together by chains of digests taken apart again: into the rows under each digest, where that makes fewer pairs.
-    Digests under which all rows are of one label go; of digests with the same rows one stays."""
+    together by chains of n-grams taken apart again: into the rows under each n-gram, where that makes fewer pairs.
+    N-grams under which all rows are of one label go; of n-grams with the same rows one stays."""
     under = materialize(shared.select("h", "k").join(big.select(F.col("k").alias("bk"), "comp", "label"), F.col("k") == F.col("bk")).drop("bk"))
     mark = F.xxhash64("k")
     groups = under.groupBy("comp", "h").agg(F.count("*").alias("m"), F.sum(mark % (1 << 31)).alias("s"), F.bit_xor(mark).alias("x"), F.min("label").alias("lo"), F.max("label").alias("hi"))
@@ -251,7 +262,7 @@ def _by_size(sets: DataFrame, keys: list[str], rows: int, grams: int) -> DataFra
 
 def _links(members: DataFrame, texts: DataFrame, shared: DataFrame, n_gram: int, percent: int) -> DataFrame:
     """All forests of links. members: (k, n, at, comp), materialized, one row per set in a candidate
-    group; at: the (doc_id, t) of one of its texts. shared: (h, k), the digests that different sets have."""
+    group; at: the (doc_id, t) of one of its texts. shared: (h, k), the first n-grams that different sets have."""
     groups = members.groupBy("comp").agg(F.count("*").alias("m"), F.ceil(F.sum(_room(BLOCK_ROWS, BLOCK_GRAMS)) / ROOM).alias("blocks"))
     placed = members.join(groups, "comp")
     many = F.col("blocks") > 1
@@ -311,15 +322,11 @@ def jaccard_join(docs: DataFrame, n_gram: int = 3, percent: int = 90, id_col: st
     """
     text = F.col(text_col).cast("binary")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t"))
-    rows = materialize(_profile(texts, n_gram))
-    # digests of one set say nothing; the window spills and needs no copy of the rows
-    under = Window.partitionBy("h")
-    edges = size_buckets(percent)
-    need = F.array(*(F.lit(class_count(b, percent, edges)[2]) for b in range(len(edges) - 1)))
-    shared = _classes(texts, n_gram, percent).select("h", "k", F.min("k").over(under).alias("v"), F.max("k").over(under).alias("w"), F.count("*").over(under).alias("m"))
-    shared = materialize(_enough(shared.where("v <> w").select("h", "k", "v", "m").distinct().withColumn("need", F.get(need, _bucket()))))
-    groups = connected_components(_candidates(shared))
+    profile = materialize(_profile(texts, n_gram))
+    rows = profile.where("cell IS NULL").drop("cell")
     sets = rows.where("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "t")).alias("at"))
+    shared = _shared(_firsts(texts, n_gram, percent, _levels(profile)), sets, percent)
+    groups = connected_components(_candidates(shared))
     members = materialize(sets.join(groups.select(F.col("node").alias("k"), F.col("component").alias("comp")), "k"))
     links = _links(members, texts, shared, n_gram, percent)
     roots = connected_components(links)
