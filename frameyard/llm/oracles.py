@@ -67,3 +67,20 @@ m AS (SELECT s.page_id, s.host, s.path, r.rule, r.verdict,
                         AND starts_with(s.path, substr(r.rule, position('/' IN r.rule))))
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host = '' THEN 'block' ELSE 'allow' END) AS verdict FROM m WHERE k = 1
 """
+
+OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT rid) >= 30), v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN k USING (lang, term) GROUP BY ALL), n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d), l AS (SELECT lang, sum(n) AS n FROM n GROUP BY lang),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, 1 + 1000000000::HUGEINT * (coalesce(c, 0) + 5) // (coalesce(n, 0) + 5 * v) AS p
+      FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term) LEFT JOIN n USING (lang, source)),
+q AS (SELECT lang, term, 1 + 1000000000::HUGEINT * (s + 5) // (n + 5 * v) AS q FROM (SELECT lang, term, sum(c) AS s FROM c GROUP BY ALL) JOIN l USING (lang) JOIN v USING (lang)),
+x AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+y AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+z AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (FROM y UNION ALL FROM z)) WHERE part = 'pair' OR rank <= 50
+"""

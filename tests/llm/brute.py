@@ -100,3 +100,43 @@ def passages(rows, words):
         runs = [m.span() for m in re.finditer(b"\1+", bytes(gone))]
         out.append((rows[n][0], len(runs), sum(places[n][b - 1][1] - places[n][a][0] for a, b in runs)))
     return out
+
+
+def source_audit(rows, least=30, smooth=5, scale=10**9, top=50):
+    """rows: (text, lang, source)."""
+    term = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+    rows = [((t or "").translate(UP), lang or "", source or "") for t, lang, source in rows]
+    docs = Counter((lang, w) for t, lang, _ in rows for w in set(term.findall(t)))
+    kept = {k for k, n in docs.items() if n >= least}
+    count = Counter((lang, s, w) for t, lang, s in rows for w in term.findall(t) if (lang, w) in kept)
+    out = []
+    for lang in {r[1] for r in rows}:
+        terms = sorted(w for a, w in kept if a == lang)
+        sources = sorted({r[2] for r in rows if r[1] == lang})
+        share = lambda c, terms=terms: {w: 1 + scale * (c[w] + smooth) // (sum(c.values()) + smooth * len(terms)) for w in terms}
+        by = {s: Counter({w: count[lang, s, w] for w in terms}) for s in sources}
+        p, q = {s: share(c) for s, c in by.items()}, share(sum(by.values(), Counter()))
+        for s in sources:
+            pairs = [(sum(abs(p[s][w] - p[o][w]) for w in terms), o) for o in sources if o != s]
+            used = [(p[s][w] - q[w], w) for w in terms if by[s][w] and p[s][w] > q[w]]
+            for part, items in (("pair", pairs), ("term", used)):
+                items.sort(key=lambda x: (-x[0], x[1].encode()))
+                out += [(lang, s, part, i, v, k) for k, (v, i) in enumerate(items, 1) if part == "pair" or k <= top]
+    return sorted(out)
+
+
+def personal(text):
+    rules = (
+        r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]",
+    )
+
+    def good(kind, found):
+        d = [int(c) for c in found if c in "0123456789"]
+        if kind == 1:
+            return all(len(p.lstrip("0")) < 4 and int(p[-4:]) <= 255 for p in found.split("."))
+        if kind == 2:
+            return 12 <= len(d) <= 19 and sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(d[::-1])) % 10 == 0
+        return kind == 0 or 9 <= len(d) <= 15
+
+    return sorted((m.start(), k, m.end()) for k, r in enumerate(rules) for m in re.finditer(r, text or "") if good(k, m[0]))
