@@ -38,8 +38,10 @@ SHAPES = ("other", "email", "at", "ip", "dotted", "card", "long", "nine", "3-4",
 FLAGS = ("plus", "paren", "assigned")
 #: Sweeps of message passing, and the probability from which on a label gives a span.
 SWEEPS, SURE = 20, 0.8
-#: Fit: steps, their size, pull towards a field in which nodes carry no label.
-STEPS, RATE, PULL, PLAIN = 600, 0.3, 1e-4, 4.0
+#: Fit: steps, their size, and the pull towards where the weights start: no label by PLAIN, equal labels over links by SHARED.
+STEPS, RATE, PULL, PLAIN, SHARED = 600, 0.03, 1e-3, 1.0, 3.0
+#: Shapes that are plain cases by themselves.
+CLEAR = ("email", "ip", "card")
 NODES = "starts array<int>, ends array<int>, shapes array<int>, labels array<int>, near array<boolean>, skips array<int>, same array<boolean>, cases array<long>"
 
 
@@ -60,18 +62,19 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(end, at + 1))
 
 
-def patterns(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of all plain cases, in order."""
-    out = [(a, 0, b) for a, b in _emails(text)]
+def matches(text: str) -> list[tuple[int, int, int, bool]]:
+    """(start, kind, end, whether it passes) of the patterns' matches, in order. Of those that fail only the doubtful are
+    listed: with so many digits that those of something else may be among them."""
+    out = [(a, 0, b, True) for a, b in _emails(text)]
     for m in IP.finditer(text):
         if all(len(p.lstrip("0")) <= 3 and int(p[-4:]) <= 255 for p in m[0].split(".")):
-            out.append((m.start(), 1, m.end()))
+            out.append((m.start(), 1, m.end(), True))
     for m in CARD.finditer(text):
-        if m.end() - m.start() >= 12 and 12 <= len(d := m[0].replace(" ", "").replace("-", "")) <= 19 and luhn(d):
-            out.append((m.start(), 2, m.end()))
+        if m.end() - m.start() >= 12 and len(d := m[0].replace(" ", "").replace("-", "")) >= 12:
+            out.append((m.start(), 2, m.end(), len(d) <= 19 and luhn(d)))
     for m in PHONE.finditer(text):
-        if 9 <= sum(map(len, DIGITS.findall(m[0]))) <= 15:
-            out.append((m.start(), 3, m.end()))
+        if (n := sum(map(len, DIGITS.findall(m[0])))) >= 9:
+            out.append((m.start(), 3, m.end(), n <= 15))
     return sorted(out)
 
 
@@ -103,11 +106,11 @@ def _likeness(word: str, shape: str) -> str:
     return name if len(name) >= 4 else ""
 
 
-def nodes(text: str, found: list[tuple[int, int, int]]) -> tuple:
-    """The graph of a text and its plain cases: lists in the order of NODES."""
-    starts, ends, shapes, labels, near, skips, same = [], [], [], [], [], [], []
+def nodes(text: str, found: list[tuple[int, int, int, bool]]) -> tuple:
+    """The graph of a text and its matches: lists in the order of NODES."""
+    starts, ends, shapes, labels, near, skips, same, known = [], [], [], [], [], [], [], []
     last: dict[str, int] = {}
-    pos, k = 0, 0
+    pos, kinds, at = 0, [[f for f in found if f[1] == k] for k in range(len(KINDS))], [0] * len(KINDS)
     while m := MARK.search(text, pos):
         a = m.start()
         while a > pos and text[a - 1] not in BREAK:
@@ -122,9 +125,11 @@ def nodes(text: str, found: list[tuple[int, int, int]]) -> tuple:
         word = text[a:b]
         shape = _shape(word)
         flags = (word[0] == "+") | (text[a - 1 : a] == "(" and text[b : b + 1] == ")") << 1 | (a > 0 and text[a - 1] in "=:\"'") << 2
-        while k < len(found) and found[k][2] <= a:
-            k += 1
-        over = next((f for f in found[k : k + 4] if f[0] < b and f[2] > a), None)
+        over = []
+        for k, of_kind in enumerate(kinds):  # matches of a kind do not overlap
+            while at[k] < len(of_kind) and of_kind[at[k]][2] <= a:
+                at[k] += 1
+            over += [f for f in of_kind[at[k] : at[k] + 1] if f[0] < b]
         like = _likeness(word, shape)
         before = last.get(like, -1) if like else -1
         near.append(bool(ends) and len(gap := text[ends[-1] : a]) <= 3 and not gap.strip(" ()-."))
@@ -135,12 +140,14 @@ def nodes(text: str, found: list[tuple[int, int, int]]) -> tuple:
         starts.append(a)
         ends.append(b)
         shapes.append(SHAPES.index(shape) * 8 + int(flags))
-        labels.append(over[1] + 1 if over else 0)
-    return starts, ends, shapes, labels, near, skips, same, _cases(shapes, labels, near, skips, same)
+        labels.append(next((f[1] + 1 for f in over if f[3]), 0))
+        # a shape that is plain by itself, or one in a doubtful match: other characters touch it, which says nothing
+        known.append(labels[-1] > 0 or not over and SHAPES[shapes[-1] >> 3] not in CLEAR)
+    return starts, ends, shapes, labels, near, skips, same, _cases(shapes, labels, near, skips, same, known)
 
 
-def _cases(shapes, labels, near, skips, same) -> list[int]:
-    """Each node with its label and those of its neighbours as one number, of which a corpus has few: shape, label,
+def _cases(shapes, labels, near, skips, same, known) -> list[int]:
+    """Each node whose label is known with those of its neighbours as one number, of which a corpus has few: shape, label,
     label to the left and right (5: none), and the labels over the links to the last and next similar node (10: none)."""
     n, left, right, back, ahead = len(shapes), [5] * len(shapes), [5] * len(shapes), [10] * len(shapes), [10] * len(shapes)
     for i in range(n):
@@ -148,17 +155,17 @@ def _cases(shapes, labels, near, skips, same) -> list[int]:
             left[i], right[i - 1] = labels[i - 1], labels[i]
         if (j := skips[i]) >= 0:
             back[i], ahead[j] = 2 * labels[j] + same[i], 2 * labels[i] + same[i]
-    return [((((s * 5 + y) * 6 + a) * 6 + b) * 11 + c) * 11 + d for s, y, a, b, c, d in zip(shapes, labels, left, right, back, ahead, strict=True)]
+    return [((((s * 5 + y) * 6 + a) * 6 + b) * 11 + c) * 11 + d for s, y, a, b, c, d, k in zip(shapes, labels, left, right, back, ahead, known, strict=True) if k]
 
 
 class Field:
-    """Weights: by shape and flag and label, by labels of neighbours (the last row and column: no neighbour), and for
-    equal labels over links between similar and same tokens."""
+    """Weights: by shape and flag and label, by labels of neighbours (the last row and column, no neighbour, stay 0, so
+    that neighbours never seen together say nothing), and for equal labels over links between similar and same tokens."""
 
     def __init__(self):
         self.unary = np.zeros((len(SHAPES) + len(FLAGS), 5))
         self.unary[: len(SHAPES), 0] = PLAIN
-        self.chain, self.skip = np.zeros((6, 6)), np.zeros((2, 5))
+        self.chain, self.skip = np.zeros((6, 6)), np.full((2, 5), SHARED)
 
     def nodes(self, shapes: np.ndarray) -> np.ndarray:
         out = self.unary[shapes >> 3]
@@ -184,8 +191,8 @@ def fit_field(cases: list[tuple[int, int]]) -> Field:
     x = np.concatenate([np.eye(len(SHAPES))[shapes >> 3], flags], 1)
     links = [np.stack([(v == 2 * k + t).astype("f8") for k in range(5)], 1) for t in (0, 1) for v in (back, ahead)]
     start = [field.unary.copy(), field.chain.copy(), field.skip.copy()]
-    speed = [np.zeros_like(w) for w in start]
-    for step in range(STEPS):
+    mean, square = [np.zeros_like(w) for w in start], [np.zeros_like(w) for w in start]
+    for step in range(1, STEPS + 1):
         score = field.nodes(shapes) + field.chain[left, :5] + field.chain[:5, right].T
         for t in (0, 1):
             score = score + (links[2 * t] + links[2 * t + 1]) * field.skip[t]
@@ -194,11 +201,13 @@ def fit_field(cases: list[tuple[int, int]]) -> Field:
         chain = np.zeros((6, 6))
         np.add.at(chain[:, :5], left, off)
         np.add.at(chain[:5].T, right, off)
+        chain[5], chain[:, 5] = 0, 0
         skip = np.stack([((links[2 * t] + links[2 * t + 1]) * off).sum(0) for t in (0, 1)])
-        for w, g, s, v in zip((field.unary, field.chain, field.skip), (x.T @ off, chain, skip), start, speed, strict=True):
-            v *= 0.9
-            v += RATE * (g - PULL * (w - s))
-            w += v
+        for w, g, s, m, v in zip((field.unary, field.chain, field.skip), (x.T @ off, chain, skip), start, mean, square, strict=True):
+            g = g - PULL * (w - s)
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            w += RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
     return field
 
 
@@ -206,9 +215,7 @@ def label_probabilities(field: Field, shapes, labels, near, skips, same) -> np.n
     """Marginals of all nodes by loopy message passing; nodes with a pattern's label are evidence. Skips count from the
     first node. Each connected part is by itself, so that several documents at once give what each gives alone."""
     n, at = len(shapes), np.arange(len(shapes))
-    right = np.append(near[1:], False)
-    theta = field.nodes(shapes) + ~near[:, None] * field.chain[5, :5] + ~right[:, None] * field.chain[:5, 5]
-    theta = np.where((labels > 0)[:, None] & (np.arange(5) != labels[:, None]), -1e3, theta)
+    theta = np.where((labels > 0)[:, None] & (np.arange(5) != labels[:, None]), -1e3, field.nodes(shapes))
     a, b = np.concatenate([at[near] - 1, skips[skips >= 0]]), np.concatenate([at[near], at[skips >= 0]])
     pair = np.concatenate([np.broadcast_to(field.chain[:5, :5], (near.sum(), 5, 5)), np.eye(5) * field.skip[same[skips >= 0].astype(int)][:, None, :]])
     ahead, back = np.zeros((len(a), 5)), np.zeros((len(a), 5))
@@ -240,8 +247,8 @@ def _graph(rows: DataFrame) -> DataFrame:
         for batch in batches:
             base, graphs = [], []
             for text in batch.column(1).to_pylist():
-                found = patterns(text) if MARK.search(text) else []
-                base.append([{"start": a, "kind": k, "end": b} for a, k, b in found])
+                found = matches(text) if MARK.search(text) else []
+                base.append([{"start": a, "kind": k, "end": b} for a, k, b, good in found if good])
                 graphs.append(nodes(text, found))
             columns = list(zip(*graphs, strict=True)) or [[]] * len(types)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, span), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names)

@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from frameyard.llm.personal_data import KINDS, Field, label_probabilities, nodes, patterns, pii_scan
+from frameyard.llm.personal_data import KINDS, Field, label_probabilities, matches, nodes, pii_scan
 from frameyard.llm.source_audit import source_audit
 from frameyard.llm.whitening import refine_eigenvectors, whiten
 
@@ -117,12 +117,19 @@ def test_patterns_against_regex():
     texts = [t for _, t in EDGE if t and len(t) < 10_000] + PLAIN
     texts += ["".join(rng.choices("0123456789 .@+-()aB=", [4] * 10 + [3, 4, 2, 2, 2, 1, 1, 2, 1, 1], k=rng.randrange(200))) for _ in range(600)]
     for t in texts:
-        assert patterns(t) == brute.personal(t), t
+        assert [m[:3] for m in matches(t) if m[3]] == brute.personal(t), t
+
+
+def test_nodes_have_the_labels_of_their_matches():
+    text = "+1 " + "1.2.3.4 " * 50 + f"{CARD} a@b.cc " * 30  # all within one match of digits, dots and spaces
+    found = matches(text)
+    starts, ends, _, labels, *_ = nodes(text, found)
+    assert len(starts) == 111 and labels == [max((k + 1 for s, k, e, ok in found if ok and s < b and e > a), default=0) for a, b in zip(starts, ends, strict=True)]
 
 
 def test_patterns_stay_linear():
     for t in ("a" * 400_000, "1" * 400_000, "1." * 200_000, "1 " * 200_000, "+1" * 200_000, "a@" * 200_000, "a@b" * 100_000, "(" * 400_000):
-        nodes(t, patterns(t))
+        nodes(t, matches(t))
 
 
 def _pii(spark, rows, **kw):
@@ -135,7 +142,7 @@ def _examples():
     out = []
     for i in range(60):
         out += [(1000 + 4 * i, f"the {CARD} of {i}."), (1001 + 4 * i, f"to +1 ({200 + i}) 555-{1000 + i} or 10.0.{i}.7 and q{i}.{i}@mail{i}.example.com"),
-                (1002 + 4 * i, f"in {1900 + i} a{i} {i}.{i}. password={rng.getrandbits(64):x} {i}%"), (1003 + 4 * i, f"code {4000000000000000 + 20 * i + 1} and 12{i}")]
+                (1002 + 4 * i, f"in {1900 + i} a{i} {i}.{i}. password={rng.getrandbits(64):x} {i}%"), (1003 + 4 * i, f"code {4000000000000000 + 20 * i + 1} and 12{i}, or +44 555-{2000 + i} then +44 555-{2000 + i}")]
     return out
 
 
@@ -152,16 +159,16 @@ def test_pii_scan_base_and_edges(spark):
 
 
 def test_pii_scan_adds_what_patterns_miss_and_leaves_clean_texts_alone(spark):
-    rows = _examples() + [(1, f"at 10.0.0.61 {OTHER} end"), (2, f"both {CARD} {OTHER} x"), (3, "in 1999 some 12 of 300, 4.5. and ab12 4000000000000001"), (4, "ring (712) 555-9396 now")]
+    rows = _examples() + [(1, f"at 10.0.0.61 {OTHER} end"), (2, f"both {CARD} {OTHER} x"), (3, "in 1999 some 12 of 300, 4.5. and ab12 4000000000000001"), (4, "ring 555-9396 now"), (5, "at +44 555-9396 " + "or so " * 300 + "ring 555-9396 now")]
     got = _pii(spark, rows)
     added = {i: [(s["kind"], rows_text[s["start"] : s["end"]]) for s in got[i]["spans"] if not s["base"]] for i, rows_text in rows if i < 10}
     assert added[1] == [("card", OTHER)] and added[2] == [("card", CARD), ("card", OTHER)] and added[3] == []
-    assert added[4] == [("phone", "712) 555-9396")]
+    assert added[4] == [] and added[5] == [("phone", "555-9396")]  # the first mention speaks for the second
     assert not any(not s["base"] for i, r in got.items() if i >= 1000 for s in r["spans"])
 
 
 def _graph(text):
-    parts = nodes(text, patterns(text))
+    parts = nodes(text, matches(text))
     return [np.array(parts[i]) for i in (2, 3)] + [np.array(parts[4]), np.array(parts[5]), np.array(parts[6])]
 
 
@@ -177,9 +184,9 @@ def test_message_passing_is_exact_on_trees():
     field = _random_field(1)
     got = label_probabilities(field, shapes, labels, near, skips, same)
     n, total = len(shapes), np.zeros((len(shapes), 5))
-    unary, right = field.nodes(shapes), np.append(near[1:], False)
+    unary = field.nodes(shapes)
     for y in itertools.product(*([int(k)] if k else range(5) for k in labels)):
-        score = sum(unary[i, y[i]] + (field.chain[y[i - 1], y[i]] if near[i] else field.chain[5, y[i]]) + (0 if right[i] else field.chain[y[i], 5]) for i in range(n))
+        score = sum(unary[i, y[i]] + (field.chain[y[i - 1], y[i]] if near[i] else 0) for i in range(n))
         score += sum(field.skip[int(same[i]), y[i]] for i in range(n) if skips[i] >= 0 and y[skips[i]] == y[i])
         total[np.arange(n), y] += np.exp(score)
     assert skips.max() >= 0 and labels.max() > 0 and np.abs(got - total / total.sum(1, keepdims=True)).max() < 1e-9
