@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameyard.functions.durable import BROADCAST_ROWS, bounded_broadcast, materialize, release, shared_dir
 
-__all__ = ["BROADCAST_ROWS", "bounded_broadcast", "connected_components", "materialize", "release", "shared_dir", "table"]
+__all__ = ["BROADCAST_ROWS", "bounded_broadcast", "connected_components", "give_back", "materialize", "release", "shared_dir", "table"]
+
+
+def give_back() -> None:
+    """Return to the system what a Python worker has freed: it lives on beside the JVM and would hold it while later
+    stages run. For the end of tasks that held much."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from frameyard.llm.common import bounded_broadcast, connected_components, materialize
+from frameyard.llm.common import bounded_broadcast, connected_components, give_back, materialize
 from frameyard.llm.shingles import mix, shingle_set
 
 #: Rows of a block, n-grams of a block, pivots that the blocks of a group share, columns multiplied at a time.
@@ -64,6 +64,7 @@ def _profile(docs: DataFrame, n_gram: int) -> DataFrame:
             cell = top[at : at + EMIT]
             none = pa.nulls(len(cell), pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, pa.array(counts[cell].astype("i8")), pa.nulls(len(cell), pa.int32()), pa.array(cell.astype("i4"))], names=names)
+        give_back()
 
     return docs.mapInArrow(run, "doc_id long, t long, k long, n int, cell int")
 
@@ -138,6 +139,7 @@ def _firsts(docs: DataFrame, n_gram: int, percent: int, levels: np.ndarray) -> D
                     yield out(hs, ks)
                     hs, ks, n = [np.zeros(0, "u8")], [np.zeros(0, "i8")], 0
             yield out(hs, ks)
+        give_back()
 
     return docs.mapInArrow(run, "h long, k long")
 

@@ -18,13 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frameyard.llm.common import materialize
+from frameyard.llm.common import give_back, materialize
 
 #: Pieces in a partition, at most about; fewer would leave more open bins.
 PARTITION_PIECES = 20_000
 LEAST_PARTITION = 2_000
-#: Distinct chunks whose ids a worker keeps.
-CACHE = 300_000
+#: Distinct chunks whose ids a worker keeps: the last ones used, and as many before them.
+CACHE = 150_000
 #: Latin letters, then ASCII marks other than the apostrophe: the two parts are never one token.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įıĲ-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 _SHARED: dict[str, ChunkEncoder] = {}
@@ -43,7 +43,8 @@ class ChunkEncoder:
     def __init__(self, path: str, cache: int = CACHE):
         from tokenizers import Tokenizer
 
-        self.tok, self.cache, self.chunks, self.words = Tokenizer.from_file(path), cache, {}, {}
+        self.tok, self.cache = Tokenizer.from_file(path), cache
+        self.chunks, self.old_chunks, self.words, self.old_words = {}, {}, {}, {}
         self.model = self.tok.model
         # the library's byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -51,9 +52,10 @@ class ChunkEncoder:
         self.alphabet = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(other)}
 
     @classmethod
-    def shared(cls, path: str) -> ChunkEncoder:
+    def shared(cls, path: str, cache: int) -> ChunkEncoder:
         if path not in _SHARED:
             _SHARED[path] = cls(path)
+        _SHARED[path].cache = cache
         return _SHARED[path]
 
     def _library(self, parts: list[str]) -> list[bytes]:
@@ -65,40 +67,39 @@ class ChunkEncoder:
         return np.asarray([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
 
     def _fill(self, chunks: set[bytes]) -> None:
-        if len(self.chunks) + len(chunks) > self.cache:
-            self.chunks.clear()
-        if len(self.words) > self.cache:
-            self.words.clear()
-        texts = {c: c.decode("utf-8", "replace") for c in chunks}
+        known = self.old_chunks.keys() & chunks
+        self.chunks.update((c, self.old_chunks[c]) for c in known)
+        texts = {c: c.decode("utf-8", "replace") for c in chunks - known}
         plain = {c: (m[1].lower(), m[2]) for c, t in texts.items() if (m := PLAIN.fullmatch(t))}
         for p in {p for ps in plain.values() for p in ps if p and p not in self.words}:
-            self.words[p] = self._plain(p)
+            self.words[p] = self.old_words.get(p) or self._plain(p)
         for c, (word, marks) in plain.items():
             self.chunks[c] = self.words[word] + (self.words[marks] if marks else b"")
-        rest = [c for c in chunks if c not in plain]
+        rest = [c for c in texts if c not in plain]
         self.chunks.update(zip(rest, self._library([texts[c] for c in rest]), strict=True))
+        if len(self.words) > self.cache:
+            self.words, self.old_words = {}, self.words
 
     def ids(self, raw: bytes) -> bytes:
         chunks = raw.split()
         try:
             return b"".join(map(self.chunks.__getitem__, chunks))
         except KeyError:
+            if len(self.chunks) > self.cache:  # those still in use come back from the old ones
+                self.chunks, self.old_chunks = {}, self.chunks
             new = set(chunks).difference(self.chunks)
-            if len(new) * 2 > self.cache:  # a very long text of new words: in parts
+            if len(new) > self.cache:  # a very long text of new words: in parts
                 half = len(chunks) // 2
                 return b"".join(self.ids(b" ".join(c)) for c in (chunks[:half], chunks[half:]))
-            before = len(self.chunks)
             self._fill(new)
-            if len(self.chunks) < before + len(new):  # the store was emptied
-                self._fill(set(chunks).difference(self.chunks))
             return b"".join(map(self.chunks.__getitem__, chunks))
 
 
-def token_pieces(docs: DataFrame, capacity: int, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+def token_pieces(docs: DataFrame, capacity: int, path: str, end_id: int, id_col: str, text_col: str, cache: int = CACHE) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and a row_id of the piece; only documents over capacity are cut."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder.shared(path)
+        encoder = ChunkEncoder.shared(path, cache)
         end, step = int(end_id).to_bytes(4, "little"), 4 * capacity
         serial = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -118,6 +119,7 @@ def token_pieces(docs: DataFrame, capacity: int, path: str, end_id: int, id_col:
                 [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(rows)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "row_id"],
             )
+        give_back()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(
         cut, "doc_id long, piece int, start long, length long, ids_crc32 long, row_id long"
@@ -201,12 +203,13 @@ def pack(pieces: DataFrame, capacity: int, rounds: int = 3) -> DataFrame:
     return whole
 
 
-def pack_documents(docs: DataFrame, capacity: int = 2048, path: str | None = None, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, capacity: int = 2048, path: str | None = None, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", cache: int = CACHE) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document is its ids and end_id; null or empty text is end_id alone. Documents over capacity are cut into pieces
     of that length, the last one shorter. Repeated rows are packed each; a null id stays null; other columns of docs
     are not read; no rows give no sequences. Every offset of a sequence follows the piece before it without a gap.
+    `cache` bounds what a worker remembers of chunks, about 300 bytes each twice; fewer cost time only.
     """
-    pieces = materialize(token_pieces(docs, capacity, path or vocabulary_path(), end_id, id_col, text_col))
+    pieces = materialize(token_pieces(docs, capacity, path or vocabulary_path(), end_id, id_col, text_col, cache))
     return pack(pieces, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frameyard.llm.common import materialize
+from frameyard.llm.common import give_back, materialize
 
 #: Bounds of the fitted classifier: labelled examples, and terms kept of them.
 EXAMPLES, TERMS = 20_000, 4096
@@ -83,6 +83,7 @@ def _features(docs: DataFrame, terms: list[str]) -> DataFrame:
                 ts.append(found)
                 tfs.append([tf[i] for i in found])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ts, pa.list_(pa.int32())), pa.array(tfs, pa.list_(pa.int32())), batch.column(2)], names=["doc_id", "t", "tf", "_key"])
+        give_back()
 
     return docs.select("doc_id", "text", "_key").mapInArrow(run, "doc_id long, t array<int>, tf array<int>, _key long")
 
@@ -214,6 +215,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
                      pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))), batch.column(3)],
                     names=["doc_id", "score", "evidence", "_key"],
                 )
+            give_back()
 
         return source.select("doc_id", "t", "tf", "_key").mapInArrow(run, SCORED)
 
