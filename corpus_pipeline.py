@@ -18,6 +18,8 @@ from frameyard.llm.toxicity import score_toxicity
 
 #: Near copies in the corpus: five-word shingles, of which 80 percent agree.
 SHINGLE, PERCENT = 5, 80
+#: Chunks that a packing worker remembers: less than by itself, as the earlier stages' workers still live.
+CACHE = 50_000
 #: The stages' own name for a row: ids may be missing, repeated, or stand for several texts.
 ROW = "_corpus_pipeline_row"
 
@@ -70,7 +72,7 @@ def mask_found_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left is packed into sequences, one row per piece; a null or empty text is its end token alone, repeated
     rows are packed each, no rows give none."""
-    return pack_documents(docs)
+    return pack_documents(docs, cache=CACHE)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
