@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameyard.functions import params as P
-from frameyard.functions.durable import materialize
+from frameyard.functions.durable import bounded_broadcast, materialize
+
+#: Up to so many rows of a group Spark limits a ranking window within each task.
+GROUP_LIMIT = 1000
 
 
 def filter_bad_urls(df: DataFrame, url: str = "image_url") -> DataFrame:
@@ -21,7 +24,9 @@ def filter_bad_urls(df: DataFrame, url: str = "image_url") -> DataFrame:
 def dedupe_and_cap(df: DataFrame, group: list[str], key: str, order: list[str], n: int) -> DataFrame:
     """The first row of each key in a group, in order, at most n of a group."""
     first = df.withColumn("_k", F.row_number().over(Window.partitionBy(*group, key).orderBy(*order))).where("_k = 1").drop("_k")
-    return first.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_n") <= n).drop("_n")
+    if n <= GROUP_LIMIT:  # every task keeps n rows of a group before they meet
+        return first.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_n") <= n).drop("_n")
+    return rank_within(first, group, order, "_n").where(F.col("_n") <= n).drop("_n")
 
 
 def extract_image_urls(pages: DataFrame, text: str = "html", id_col: str = "page_id") -> DataFrame:
@@ -64,3 +69,25 @@ def with_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
     counts = dealt.groupBy("_p").agg(F.count("*").alias("_n"))
     before = counts.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))
     return dealt.join(F.broadcast(before), "_p").withColumn(name, F.col("_o") + F.col("_m") + 1).drop("_p", "_m", "_o")
+
+
+def rank_within(df: DataFrame, by: list[str], order: list[str], name: str = "place") -> DataFrame:
+    """The place from 1 of each row among those that agree in `by`, in order: row_number over a window, but a key whose
+    rows are most of the table is spread over all tasks.
+
+    Rows are range-partitioned and sorted by key and order; each partition counts its rows of a key, and those in the
+    partitions before it are added. The counts are as many as partitions and keys together. order must be unique within a
+    key; null keys agree with each other.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(parts, *by, *order).sortWithinPartitions(*by, *order)
+    dealt = materialize(dealt.withColumn("_within_p", F.spark_partition_id()).withColumn("_within_m", F.monotonically_increasing_id() % (1 << 33)))
+    keys = [F.col(k).alias(f"_within_k{i}") for i, k in enumerate(by)]
+    counts = dealt.groupBy("_within_p", *keys).agg(F.count("*").alias("_within_n"), F.min("_within_m").alias("_within_s"))
+    names = [f"_within_k{i}" for i in range(len(by))]
+    earlier = F.sum("_within_n").over(Window.partitionBy(*names).orderBy("_within_p").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select(F.col("_within_p").alias("_within_q"), *names, (F.coalesce(earlier, F.lit(0)) - F.col("_within_s") + 1).alias("_within_shift"))
+    starts = bounded_broadcast(materialize(starts))
+    out = dealt.join(starts, [F.col("_within_p") == F.col("_within_q")] + [F.col(k).eqNullSafe(F.col(f"_within_k{i}")) for i, k in enumerate(by)])
+    return out.withColumn(name, F.col("_within_m") + F.col("_within_shift")).drop("_within_p", "_within_m", "_within_q", "_within_shift", *names)

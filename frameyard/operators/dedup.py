@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameyard.functions.durable import materialize, release
+from frameyard.operators.candidates import rank_within
 
 #: Vectors of a block of the similarity join.
 BLOCK = 1024
+#: Ranks that one task walks in a round of the ordered selection.
+WALK = 4096
 
 
 def phash_pairs(df: DataFrame, distance: int = 5, bits: int = 64, id_col: str = "id", code: str = "phash") -> DataFrame:
@@ -81,33 +84,53 @@ def dedupe_exact(df: DataFrame, key: str, order: list[str], eligible=None) -> Da
     return df.withColumn("_rank", F.when(bare, 1).otherwise(rank)).withColumn("selected", ok & (F.col("_rank") == 1)).withColumn("duplicate", ok & (F.col("_rank") > 1)).drop("_rank")
 
 
-def greedy_select(rows: DataFrame, edges: DataFrame, k: int = 2) -> DataFrame:
+def _walk(k: int):
+    """A task's share of a round of greedy_select: a block's open rows in order of rank."""
+
+    def walk(block: pd.DataFrame) -> pd.DataFrame:
+        decided: dict[int, bool] = {}
+        for b, a_hits, b_hits, waiting, inside in block.sort_values("b")[["b", "hits_a", "hits_b", "waiting", "inside"]].itertuples(index=False):
+            for e in inside:
+                if (ok := decided.get(e["a"])) is None:
+                    waiting += 1
+                elif ok:
+                    a_hits, b_hits = a_hits + (e["kind"] == "A"), b_hits + (e["kind"] == "B")
+            # a row is out as soon as its hits suffice, and in only when nobody before it is undecided
+            if a_hits or b_hits >= k or not waiting:
+                decided[b] = not (a_hits or b_hits >= k)
+        return pd.DataFrame({"rank": np.array(list(decided), "i8"), "ok": np.array(list(decided.values()), bool)})
+
+    return walk
+
+
+def greedy_select(rows: DataFrame, edges: DataFrame, k: int = 2, block: int = WALK) -> DataFrame:
     """Walk rows (rank) in order; a row is accepted unless an accepted earlier neighbour of kind A exists, or k of
-    kind B. edges: (a, b, kind) with ranks a < b, kind 'A' or 'B'. In each round every row whose earlier neighbours are
-    all decided is decided, the least open one at any rate, so that chains of any length end; rows without edges are
-    decided at once. Adds accepted."""
+    kind B. edges: (a, b, kind) with ranks a < b, kind 'A' or 'B'. Adds accepted.
+
+    Rows without earlier neighbours are decided at once. In each round the open rows of every block of ranks are walked by
+    one task, which knows what earlier rounds decided and decides on through the block as far as it gets; hits among decided
+    rows are counted before, so a task holds the links inside its block only. A chain of links ends after as many rounds as
+    it has blocks, most after one or two; every round decides the least open row at any rate.
+    """
     into = materialize(edges.select("a", "b", "kind").distinct())
-    targets = into.select(F.col("b").alias("rank")).distinct()
-    open_ = materialize(targets)
+    targets = materialize(into.select(F.col("b").alias("rank")).distinct())
     done = materialize(into.select(F.col("a").alias("rank")).distinct().join(targets, "rank", "left_anti").withColumn("ok", F.lit(True)))
-    while open_.limit(1).count():
+    left = targets.count()
+    number = lambda c: F.floor(F.col(c) / block)
+    while left:
         known = done.select(F.col("rank").alias("a"), "ok")
-        state = (
-            into.join(open_.select(F.col("rank").alias("b")), "b").join(known, "a", "left")
-            .groupBy("b").agg(
-                F.count_if(F.col("ok").isNull()).alias("waiting"),
-                F.count_if(F.col("ok") & (F.col("kind") == "A")).alias("hits_a"),
-                F.count_if(F.col("ok") & (F.col("kind") == "B")).alias("hits_b"),
-            )
+        waits = into.join(done.select(F.col("rank").alias("b")), "b", "left_anti").join(known, "a", "left")
+        inside = F.col("ok").isNull() & (number("a") == number("b"))
+        state = waits.groupBy("b").agg(
+            F.count_if(F.col("ok") & (F.col("kind") == "A")).alias("hits_a"), F.count_if(F.col("ok") & (F.col("kind") == "B")).alias("hits_b"),
+            F.count_if(F.col("ok").isNull() & ~inside).alias("waiting"), F.collect_list(F.when(inside, F.struct("a", "kind"))).alias("inside"),
         )
-        # a row is out as soon as its hits suffice, and in only when nobody before it is undecided
-        out = (F.col("hits_a") > 0) | (F.col("hits_b") >= k)
-        new = materialize(state.where(out | (F.col("waiting") == 0)).select(F.col("b").alias("rank"), (~out).alias("ok")))
-        nxt_done = materialize(done.unionByName(new))
-        nxt_open = materialize(open_.join(new, "rank", "left_anti"))
-        for old in (done, open_, new):
-            release(old)
-        done, open_ = nxt_done, nxt_open
+        new = materialize(state.groupBy(number("b").alias("_block")).applyInPandas(_walk(k), "rank long, ok boolean"))
+        nxt = materialize(done.unionByName(new))
+        left -= new.count()
+        release(done)
+        release(new)
+        done = nxt
     return rows.join(done, "rank", "left").withColumn("accepted", F.coalesce("ok", F.lit(True))).drop("ok")
 
 
@@ -123,7 +146,7 @@ def apply_quota(df: DataFrame, quota: DataFrame, view: str = "view", rank: str =
     outcome accepted or rejected_quota_full; rows behind the rank at which every view is full were not processed."""
     free = quota.select(F.col(view), F.greatest(F.lit(0), F.col("target") - F.col("accepted")).alias("_free"))
     out = df.join(F.broadcast(free), view, "left").withColumn("_free", F.coalesce("_free", F.lit(0)))
-    out = out.withColumn("_n", F.row_number().over(Window.partitionBy(view).orderBy(rank)))
+    out = rank_within(out, [view], [rank], "_n")
     out = out.withColumn("outcome", F.when(F.col("_n") <= F.col("_free"), "accepted").otherwise("rejected_quota_full"))
     fill = out.where((F.col("_n") == F.col("_free"))).agg(F.max(rank).alias("_last"), F.count("*").alias("_full"))
     views = free.agg(F.count_if(F.col("_free") > 0).alias("_views"))
@@ -147,8 +170,7 @@ def select_with_quota(rows: DataFrame, edges: DataFrame, quota: dict[str, int],
         kept = live.select("rank")
         inner = links.join(kept.withColumnRenamed("rank", "a"), "a", "left_semi").join(kept.withColumnRenamed("rank", "b"), "b", "left_semi")
         chosen = materialize(greedy_select(live, inner, k))
-        order = F.row_number().over(Window.partitionBy("view").orderBy("rank"))
-        numbered = chosen.where("accepted").withColumn("n", order)
+        numbered = rank_within(chosen.where("accepted"), ["view"], ["rank"], "n")
         want = F.create_map(*(F.lit(x) for kv in quota.items() for x in kv)) if quota else F.create_map()
         full = {r["view"]: r["rank"] for r in numbered.where(F.col("n") == F.element_at(want, F.col("view"))).select("view", "rank").collect()}  # a row a view
         new = {v: r for v, r in full.items() if v not in fills}

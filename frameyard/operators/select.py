@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from frameyard.operators.candidates import with_rank
+from frameyard.operators.candidates import rank_within, with_rank
 
 
 def exclude(df: DataFrame, gone: DataFrame, key: str = "stem", ignore_case: bool = False) -> DataFrame:
@@ -82,7 +82,7 @@ def first_n(df: DataFrame, order: list, n: int) -> DataFrame:
 
 def bucketize(df: DataFrame, by: list[str], order: list, chunk: int | None = None) -> DataFrame:
     """Place in its bucket, and batch_NNN of chunk rows."""
-    out = df.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    out = rank_within(df, by, order, "place").withColumn("place", F.col("place").cast("int"))
     number = F.ceil(F.col("place") / chunk) if chunk else F.lit(1)
     return out.withColumn("batch", F.concat(F.lit("batch_"), F.lpad(number.cast("string"), 3, "0")))
 

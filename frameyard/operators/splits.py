@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from frameyard.functions.columns import hex_modulo, md5_modulo_5
+from frameyard.operators.candidates import rank_within
 
 
 def split_by_id(digest: str) -> Column:
@@ -35,11 +36,10 @@ def last_n_split(df: DataFrame, stem: str = "stem") -> DataFrame:
 
 def shuffle_split(df: DataFrame, label: str, path: str, seed: int = 42, share: float = 0.8) -> DataFrame:
     """Per class, the first floor(share n) rows by md5 of seed and path are train."""
-    w = Window.partitionBy(label)
-    k = F.row_number().over(w.orderBy(F.md5(F.concat(F.lit(str(seed)), F.col(path)).cast("binary")), path))
-    return df.withColumn("_k", k).withColumn("_n", F.count("*").over(w)).withColumn(
-        "split", F.when(F.col("_k") <= F.floor(F.col("_n") * share), "train").otherwise("val")
-    ).drop("_k", "_n")
+    keyed = df.withColumn("_h", F.md5(F.concat(F.lit(str(seed)), F.col(path)).cast("binary")))
+    sizes = df.groupBy(F.col(label).alias("_l")).agg(F.count("*").alias("_n"))
+    ranked = rank_within(keyed, [label], ["_h", path], "_k").join(sizes, F.col(label).eqNullSafe(F.col("_l")))
+    return ranked.withColumn("split", F.when(F.col("_k") <= F.floor(F.col("_n") * share), "train").otherwise("val")).drop("_k", "_n", "_h", "_l")
 
 
 def row_id(url: str) -> Column:

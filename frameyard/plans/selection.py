@@ -272,10 +272,11 @@ def t2(x: Inputs) -> DataFrame:
     return _drain(x, s, "append", "dedup").select("image_url", "view")
 
 
-@query("t3_stream_quota", f"WITH c AS ({duck(CANDIDATES)}), n AS (SELECT view, count(*) AS n FROM c GROUP BY 1), q(view, target) AS (VALUES ('view', 300), ('click', 100)) SELECT view, least(n, coalesce(target, 0)) AS accepted FROM n LEFT JOIN q USING (view)")
+@query("t3_stream_quota", f"""WITH c AS ({duck(CANDIDATES)}), k AS (SELECT event_id, view, row_number() OVER (PARTITION BY view ORDER BY event_id) AS k FROM c), q(view, target) AS (VALUES ('view', 300), ('click', 100))
+SELECT event_id, CASE WHEN k <= coalesce(target, 0) THEN 'accepted' ELSE 'rejected_quota_full' END AS outcome FROM k LEFT JOIN q USING (view)""")
 def t3(x: Inputs) -> DataFrame:
     s = jobs.quota_stream(_candidate_stream(x), {"view": 300, "click": 100}, order="event_id")
-    return _drain(x, s, "append", "quota").groupBy("view").agg(F.count_if(F.col("outcome") == "accepted").alias("accepted"))
+    return _drain(x, s, "append", "quota").select("event_id", "outcome")
 
 
 @query("t4_stream_counts", f"WITH c AS ({duck(CANDIDATES)}) SELECT view, source_name, count(*) AS n FROM c GROUP BY ALL")

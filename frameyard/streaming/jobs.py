@@ -37,7 +37,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 class QuotaProcessor(StatefulProcessor):
-    """Accepts rows of a view in order of arrival while its count is below the target."""
+    """Accepts rows of a view while its count is below the target: batches as they arrive, the rows of a batch in order."""
 
     def __init__(self, targets: dict[str, int], order: str):
         self.targets, self.order = targets, order
@@ -47,14 +47,15 @@ class QuotaProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         n = self.accepted.get()[0] if self.accepted.exists() else 0
-        target = self.targets.get(key[0], 0)
+        free = max(0, self.targets.get(key[0], 0) - n)
+        held = None  # the first rows by order of all that came; at most as many as are still free
         for pdf in rows:
-            pdf = pdf.sort_values(self.order)
-            place = n + pd.Series(range(1, len(pdf) + 1), index=pdf.index)
-            pdf["outcome"] = ["accepted" if p <= target else "rejected_quota_full" for p in place]
-            n += len(pdf)
-            yield pdf
-        self.accepted.update((min(n, target),))
+            pdf = (pdf if held is None else pd.concat([held, pdf])).sort_values(self.order, kind="stable")
+            held = pdf.iloc[:free]
+            yield pdf.iloc[free:].assign(outcome="rejected_quota_full")
+        if held is not None:
+            yield held.assign(outcome="accepted")
+            self.accepted.update((n + len(held),))
 
     def close(self) -> None:
         pass
