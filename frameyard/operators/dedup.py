@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameyard.functions.durable import materialize, release
@@ -134,13 +134,57 @@ def greedy_select(rows: DataFrame, edges: DataFrame, k: int = 2, block: int = WA
     return rows.join(done, "rank", "left").withColumn("accepted", F.coalesce("ok", F.lit(True))).drop("ok")
 
 
+def cosine_links(rows: DataFrame, seeds: DataFrame, least: float = 0.92, by: str = "view", id_col: str = "rank", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
+    """J9 between two tables: (a of seeds, b of rows, cosine) within a group; the seeds do not meet each other."""
+    sides = []
+    for df, own, other in ((seeds, "i", "j"), (rows, "j", "i")):
+        sizes = df.groupBy(by).agg(F.ceil(F.count("*") / block).alias(f"n_{own}"))
+        sides.append((df.select(by, F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")), own, other, sizes))
+    both = sides[0][3].join(sides[1][3], by)
+    dealt = [
+        df.join(both, by).select(by, "id", "v", F.pmod(F.xxhash64("id"), f"n_{own}").alias(own), F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"n_{other}") - 1)).alias(other))
+        for df, own, other, _ in sides
+    ]
+
+    def product(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"a": [], "b": [], "cosine": []})
+        unit = []
+        for pdf in (a, b):
+            x = np.array(pdf["v"].tolist(), "f8")
+            norm = np.linalg.norm(x, axis=1, keepdims=True)
+            unit.append(x / np.where(norm > 0, norm, 1))
+        sim = unit[0] @ unit[1].T
+        p, q = np.nonzero(sim >= least)
+        return pd.DataFrame({"a": a["id"].to_numpy()[p], "b": b["id"].to_numpy()[q], "cosine": sim[p, q]})
+
+    left, right = (d.groupBy(by, "i", "j") for d in dealt)
+    return left.cogroup(right).applyInPandas(product, "a long, b long, cosine double")
+
+
 def seed_index(rows: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Seeds before all rows, in their order, at ranks below 1; seeded marks them."""
-    n = seeds.count()
-    first = seeds.withColumn("rank", F.col("rank") - F.lit(n)).withColumn("seeded", F.lit(True))
+    """Seeds before all rows, in their order (rank), at ranks below 1; seeded marks them."""
+    last = seeds.agg(F.coalesce(F.max("rank"), F.lit(0)).alias("_last"))  # one row
+    first = seeds.crossJoin(F.broadcast(last)).withColumn("rank", F.col("rank") - F.col("_last")).drop("_last").withColumn("seeded", F.lit(True))
     return first.unionByName(rows.withColumn("seeded", F.lit(False)), allowMissingColumns=True)
 
 
+def continue_run(batch: DataFrame, accepted: DataFrame | None, quota: dict[str, int], reason: Column | None = None, least: float = 0.92, k: int = 2, block: int = BLOCK) -> DataFrame:
+    """One run over a batch (rank from 1, view, url, embedding) that goes on where earlier ones ended: accepted are
+    their accepted rows with the same columns, quota what each view still takes. Adds outcome. Rows with a reason are
+    barred by the gates; images that the index holds k times within the view are
+    duplicates, and so are urls that it holds."""
+    reason = F.lit(None).cast("string") if reason is None else reason
+    rows = batch.where(reason.isNull())
+    edges = cosine_pairs(rows, least, "view", "rank", block=block).select("a", "b", F.lit("B").alias("kind"))
+    seeds = None
+    if accepted is not None:
+        both = seed_index(rows.select("rank", "view", "url", "embedding"), accepted.select("rank", "view", "url", "embedding"))
+        seeds = materialize(both.where("seeded"))
+        edges = edges.unionByName(cosine_links(rows, seeds, least, block=block).select("a", "b", F.lit("B").alias("kind")))
+    return select_with_quota(batch, materialize(edges), quota, k, seeds, reason.isNotNull())
+
+
 def apply_quota(df: DataFrame, quota: DataFrame, view: str = "view", rank: str = "rank") -> DataFrame:
     """D6 without duplicates across views: in rank order accept while accepted < target; an unknown view is full. Adds
     outcome accepted or rejected_quota_full; rows behind the rank at which every view is full were not processed."""
@@ -154,21 +198,25 @@ def apply_quota(df: DataFrame, quota: DataFrame, view: str = "view", rank: str =
     return out.crossJoin(F.broadcast(end)).withColumn("outcome", F.when(F.col(rank) > F.col("_end"), "not_processed").otherwise(F.col("outcome"))).drop("_free", "_n", "_end")
 
 
-def select_with_quota(rows: DataFrame, edges: DataFrame, quota: dict[str, int], k: int = 2) -> DataFrame:
+def select_with_quota(rows: DataFrame, edges: DataFrame, quota: dict[str, int], k: int = 2, seeds: DataFrame | None = None, barred: Column | None = None) -> DataFrame:
     """D2, D4 and D6 together: rows (rank, view, url), edges between ranks. Duplicates are global, so a view that is full
     stops blocking others: select greedily, find the view that fills first, drop its later rows, and repeat until no
-    further view fills (at most once per view). Adds outcome."""
-    first_url = rows.select("rank", "view", "url")
-    a, b = (first_url.select("url", F.col("rank").alias(s)) for s in "ab")
+    further view fills (at most once per view). Adds outcome. seeds (rank, url), before all rows, were accepted earlier:
+    they block by url and by the edges that lead from them, and take no quota. Rows that the gates have barred are
+    never taken."""
+    barred = F.lit(False) if barred is None else barred
+    seeds = rows.select("rank", "url").limit(0) if seeds is None else seeds.select("rank", "url")
+    b = rows.where(~barred).select("url", F.col("rank").alias("b"))
+    a = rows.where(~barred).select("url", F.col("rank").alias("a")).unionByName(seeds.select("url", F.col("rank").alias("a")))
     links = edges.unionByName(a.join(b, "url").where("a < b").select("a", "b", F.lit("A").alias("kind")))
     fills: dict[str, int] = {v: 0 for v, n in quota.items() if n <= 0}
     while True:
         limit = F.lit(None).cast("long")
         for v, at in fills.items():
             limit = F.when(F.col("view") == v, F.lit(at)).otherwise(limit)
-        live = rows.where(F.col("view").isin(*quota) & (limit.isNull() | (F.col("rank") <= limit))) if quota else rows.limit(0)
+        live = rows.where(~barred & F.col("view").isin(*quota) & (limit.isNull() | (F.col("rank") <= limit))) if quota else rows.limit(0)
         kept = live.select("rank")
-        inner = links.join(kept.withColumnRenamed("rank", "a"), "a", "left_semi").join(kept.withColumnRenamed("rank", "b"), "b", "left_semi")
+        inner = links.join(kept.unionByName(seeds.select("rank")).withColumnRenamed("rank", "a"), "a", "left_semi").join(kept.withColumnRenamed("rank", "b"), "b", "left_semi")
         chosen = materialize(greedy_select(live, inner, k))
         numbered = rank_within(chosen.where("accepted"), ["view"], ["rank"], "n")
         want = F.create_map(*(F.lit(x) for kv in quota.items() for x in kv)) if quota else F.create_map()
@@ -181,11 +229,11 @@ def select_with_quota(rows: DataFrame, edges: DataFrame, quota: dict[str, int],
     end = max(fills.values()) if len(fills) == len(quota) else None
     verdict = chosen.select(F.col("rank").alias("_r"), "accepted")
     out = rows.join(verdict, F.col("rank") == F.col("_r"), "left")
-    taken = out.where("accepted").groupBy("url").agg(F.min("rank").alias("_first")).withColumnRenamed("url", "_u")
+    taken = out.where("accepted").select("url", "rank").unionByName(seeds.select("url", "rank")).groupBy("url").agg(F.min("rank").alias("_first")).withColumnRenamed("url", "_u")
     out = out.join(taken, F.col("url") == F.col("_u"), "left")
     outcome = (
         F.when(F.lit(end).isNotNull() & (F.col("rank") > F.lit(end)), "not_processed")
-        .when(F.col("_first") < F.col("rank"), "url_seen").when(F.col("accepted").isNull(), "rejected_quota_full")
+        .when(F.col("_first") < F.col("rank"), "url_seen").when(barred, "rejected_heuristic").when(F.col("accepted").isNull(), "rejected_quota_full")
         .when(F.col("accepted"), "accepted").otherwise("rejected_dedup_clip")
     )
     return out.withColumn("outcome", outcome).drop("_r", "accepted", "_u", "_first")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from frameyard.functions.durable import materialize, shared_dir
 from frameyard.operators import dedup, reports, select
 from frameyard.plans.bind import BOXES, CANDIDATES, IMAGES, REPORT, Inputs, duck, query
+from frameyard.plans.staging import SIMILAR, sequential_sql
 from frameyard.sources import files, sinks
 from frameyard.streaming import jobs
 
@@ -156,11 +157,16 @@ def d4(x: Inputs) -> DataFrame:
     return dedup.greedy_select(rows, _pairs(x).select("a", "b", F.lit("B").alias("kind")), 2)
 
 
-@query("d2_d4_d6_select_with_quota")
+MIXED = {"front": 60, "side": 80, "rear": 50}
+
+
+@query("d2_d4_d6_select_with_quota", f"""WITH RECURSIVE s AS (SELECT vec_id AS rank, CASE label % 3 WHEN 0 THEN 'front' WHEN 1 THEN 'side' ELSE 'rear' END AS view, 'u' || CAST(vec_id % 400 AS VARCHAR) AS url FROM embeddings),
+v AS (SELECT vec_id AS rank, label % 2 AS g, [CAST(a AS DOUBLE) for a in embedding] AS e FROM embeddings), {sequential_sql(MIXED, SIMILAR.format(by="g") + "0.3", 1)}
+SELECT d.rank, d.view, w.outcome FROM d JOIN w USING (i)""")
 def d246(x: Inputs) -> DataFrame:
     rows = x.sql("SELECT vec_id AS rank, CASE label % 3 WHEN 0 THEN 'front' WHEN 1 THEN 'side' ELSE 'rear' END AS view, concat('u', CAST(vec_id % 400 AS STRING)) AS url FROM {embeddings}")
     edges = dedup.cosine_pairs(x.table("embeddings").withColumn("g", F.col("label") % 2), 0.3, "g", "vec_id", block=256)
-    return dedup.select_with_quota(rows, edges.select("a", "b", F.lit("A").alias("kind")), {"front": 60, "side": 80, "rear": 50}).select("rank", "view", "outcome")
+    return dedup.select_with_quota(rows, edges.select("a", "b", F.lit("A").alias("kind")), MIXED).select("rank", "view", "outcome")
 
 
 BATCH = f"""r AS ({duck(REPORT)}), s AS (SELECT stem, CAST(quality_score AS DOUBLE) AS q, CASE WHEN lower(trim(success)) NOT IN ('true', '1', 'yes') THEN 'failed' WHEN upper(review_priority) <> 'REVIEW_LOW' THEN 'priority' END AS reason FROM r),
@@ -258,14 +264,6 @@ def _candidate_stream(x: Inputs) -> DataFrame:
     return x.spark.readStream.schema(root.schema).parquet(root._frameyard_path)
 
 
-@query("t1_ingest", f"WITH c AS ({duck(CANDIDATES)}) SELECT view, CASE WHEN width < 1000 THEN 'rejected_quality' ELSE 'accepted' END AS outcome, count(*) AS n FROM c GROUP BY ALL")
-def t1(x: Inputs) -> DataFrame:
-    root = f"{shared_dir(x.spark)}/ingest-{uuid.uuid4().hex}"
-    decide = lambda batch, before: batch.withColumn("outcome", F.when(F.col("width") < 1000, "rejected_quality").otherwise("accepted"))
-    jobs.ingest(_candidate_stream(x), decide, f"{root}/state", f"{root}/log").awaitTermination()
-    return reports.action_counts(x.spark.read.parquet(f"{root}/state"), ["view", "outcome"])
-
-
 @query("t2_stream_dedup", f"WITH c AS ({duck(CANDIDATES)}) SELECT DISTINCT image_url, view FROM c")
 def t2(x: Inputs) -> DataFrame:
     s = jobs.dedupe_stream(_candidate_stream(x), ["image_url", "view"])

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frameyard.operators import staging
+from frameyard.functions.durable import materialize, shared_dir
+from frameyard.operators import dedup, reports, staging
 from frameyard.plans.bind import Inputs, duck, query
+from frameyard.sources import sinks
+from frameyard.streaming import jobs
+from frameyard.streaming.state import RunState
 
 #: Two keys, each with a hot value, in an order that makes chains of rows that share one key or the other.
 KEYED = """SELECT p_partkey AS id, p_size % 5 <> 0 AS ok, CASE WHEN p_partkey % 3 = 0 THEN 'hot' WHEN p_partkey % 41 <> 1 THEN concat('h', CAST((p_partkey * 7919) % 601 AS STRING)) END AS sha,
@@ -42,3 +48,69 @@ SELECT p_partkey, stem, CASE WHEN sel THEN 'selected' ELSE 'rejected' END AS sta
 def g18_stage_candidates(x: Inputs) -> DataFrame:
     out = staging.stage_candidates(x.sql(STAGED), ["source_rank", "stem", "path"], *map(x.sql, LISTS), "Pool_", ["interior", "rear"], 500, 60)
     return out.select("p_partkey", "stem", "status", "reason")
+
+
+#: Images of a run in order of rank: embeddings, with urls that come again and sizes that a gate rejects.
+SHOTS = """SELECT vec_id + 1 AS rank, CASE label % 3 WHEN 0 THEN 'front' WHEN 1 THEN 'side' ELSE 'rear' END AS view, concat('u', CAST((vec_id * 7) % 400 AS STRING)) AS url,
+    CAST(vec_id AS STRING) AS uuid, embedding, CAST((vec_id * 37) % 1000 AS INT) AS width FROM {embeddings}"""
+TARGETS = {"front": 60, "side": 80, "rear": 50}
+NEAR, SMALL = 0.3, 100
+
+
+def sequential_sql(targets: dict[str, int], near: str, hits: int, gate: str = "NULL") -> str:
+    """The outcome of each row of s (rank, view, url) when rows are walked one by one: p (a, b) are similar ranks."""
+    count = {v: f"n{i}" for i, v in enumerate(targets)}
+    full = " AND ".join(f"w.{c} >= {targets[v]}" for v, c in count.items())
+    mine = "CASE view " + " ".join(f"WHEN '{v}' THEN w.{c} >= {targets[v]}" for v, c in count.items()) + " ELSE true END"
+    return f"""p AS ({near}), d AS (SELECT s.*, {gate} AS reason, coalesce((SELECT list(a) FROM p WHERE b = rank), []) AS near, row_number() OVER (ORDER BY rank) AS i FROM s),
+w(i, acc, urls, {", ".join(count.values())}, outcome) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS VARCHAR[]), {", ".join("0" for _ in count)}, '' UNION ALL
+SELECT i, CASE WHEN o = 'accepted' THEN list_append(acc, rank) ELSE acc END, CASE WHEN o = 'accepted' THEN list_append(urls, url) ELSE urls END,
+{", ".join(f"{c} + CASE WHEN o = 'accepted' AND view = '{v}' THEN 1 ELSE 0 END" for v, c in count.items())}, o
+FROM (SELECT d.*, w.acc, w.urls, {", ".join(f"w.{c}" for c in count.values())}, CASE WHEN {full} THEN 'not_processed' WHEN list_contains(w.urls, d.url) THEN 'url_seen' WHEN d.reason IS NOT NULL THEN 'rejected_heuristic'
+WHEN {mine} THEN 'rejected_quota_full' WHEN len(list_filter(d.near, lambda x: list_contains(w.acc, x))) >= {hits} THEN 'rejected_dedup_clip' ELSE 'accepted' END AS o FROM w JOIN d ON d.i = w.i + 1))"""
+
+
+SIMILAR = """SELECT a.rank AS a, b.rank AS b FROM v a JOIN v b ON a.{by} = b.{by} AND a.rank < b.rank AND list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e) * list_inner_product(b.e, b.e)) >= """
+RUN = f"""WITH RECURSIVE s AS ({duck(SHOTS)}), v AS (SELECT rank, view, [CAST(a AS DOUBLE) for a in embedding] AS e FROM s WHERE width >= {SMALL}),
+{sequential_sql(TARGETS, SIMILAR.format(by="view") + str(NEAR), 2, f"CASE WHEN width < {SMALL} THEN 'too_small' END")}"""
+
+
+def _too_small():
+    return F.when(F.col("width") < SMALL, "too_small")
+
+
+@query("t1_ingest", f"{RUN} SELECT d.rank, d.view, w.outcome FROM d JOIN w USING (i)")
+def t1_ingest(x: Inputs) -> DataFrame:
+    """Three files as three micro-batches, each decided against what the ones before have committed."""
+    root = f"{shared_dir(x.spark)}/ingest-{uuid.uuid4().hex}"
+    shots = materialize(x.sql(SHOTS))
+    last = shots.agg(F.max("rank")).collect()[0][0] or 0
+    for part in range(3):
+        shots.where((F.col("rank") * 3 > last * part) & (F.col("rank") * 3 <= last * (part + 1))).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    state = RunState(x.spark, f"{root}/state", compact=2)
+
+    def decide(batch: DataFrame, manifest: dict, state: RunState) -> DataFrame:
+        return dedup.continue_run(batch, state.accepted(manifest), state.quota(TARGETS, manifest), _too_small(), NEAR, block=256)
+
+    stream = x.spark.readStream.schema(shots.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    jobs.ingest(stream, decide, state, ["rank", "view", "url", "uuid", "embedding"], f"{root}/log").awaitTermination()
+    out = state.rows()
+    return (shots.limit(0).withColumn("outcome", F.lit("")) if out is None else out).select("rank", "view", "outcome")
+
+
+@query("s14_d5_second_run", f"{RUN} SELECT d.rank, d.view, w.outcome FROM d JOIN w USING (i)")
+def s14_d5_second_run(x: Inputs) -> DataFrame:
+    """Two runs, the second seeded with the index of the first, as one run would decide."""
+    root = f"{shared_dir(x.spark)}/index-{uuid.uuid4().hex}"
+    shots = materialize(x.sql(SHOTS))
+    half = (shots.agg(F.max("rank")).collect()[0][0] or 0) // 2
+    first = materialize(dedup.continue_run(shots.where(F.col("rank") <= half), None, TARGETS, _too_small(), NEAR, block=256))
+    taken = first.where("outcome = 'accepted'")
+    for _ in range(2):  # a batch that is written again replaces itself
+        sinks.append_index(taken, root, "first")
+    counts = {r["view"]: r["n"] for r in reports.action_counts(taken, ["view"]).collect()}  # a row a view
+    index = sinks.read_index(x.spark, root, list(TARGETS)).select("uuid", F.col("embedding").alias("_e"))
+    seeds = taken.drop("embedding").join(index, "uuid").withColumnRenamed("_e", "embedding")
+    left = {v: max(0, n - counts.get(v, 0)) for v, n in TARGETS.items()}
+    second = dedup.continue_run(shots.where(F.col("rank") > half), seeds, left, _too_small(), NEAR, block=256)
+    return first.unionByName(second).select("rank", "view", "outcome")

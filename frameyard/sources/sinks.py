@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameyard.functions.columns import fixed
+from frameyard.functions.durable import _fs_path
 
 URL_COLUMNS = ("uuid", "image_url", "source_name", "query", "domain", "view", "split", "view_confidence")
 
@@ -36,13 +37,33 @@ def export_report(df: DataFrame, floats: dict[str, int] | None = None, lists: di
 
 
 def save_quota(quota: DataFrame, path: str) -> None:
-    """The small table, written anew."""
-    quota.select("view", "target", "accepted").write.mode("overwrite").json(path)
+    """The small table, written beside the path and renamed into its place, so that it may come from there: a table
+    cannot be overwritten while it is read. A save that is lost leaves the old table, or itself under <path>-new."""
+    fs, old = _fs_path(quota.sparkSession, path)
+    _, new = _fs_path(quota.sparkSession, path.rstrip("/") + "-new")
+    quota.select("view", "target", "accepted").write.mode("overwrite").json(str(new))
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"could not save quota under {path}")
 
 
-def append_index(df: DataFrame, path: str) -> None:
-    """Embeddings appended, a folder per view."""
-    df.select("view", "uuid", "embedding").write.mode("append").partitionBy("view").parquet(path)
+def append_index(df: DataFrame, path: str, batch: str) -> None:
+    """Embeddings appended under the name of their batch, a folder per view; the same batch again replaces itself
+    and nothing else."""
+    rows = df.select("view", F.lit(batch).alias("batch"), "uuid", "embedding")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("view", "batch").parquet(path)
+
+
+def read_index(spark: SparkSession, path: str, views: list[str]) -> DataFrame:
+    """The index of some views; the folders of others are not opened."""
+    return spark.read.schema("uuid string, embedding array<float>, view string, batch string").parquet(path).where(F.col("view").isin(views))
+
+
+def write_priors(priors: DataFrame, path: str) -> None:
+    """(label, x_norm, y_norm, confidence), at most a row a keypoint, as one JSON object that read_priors reads."""
+    entry = F.struct("label", F.struct(*(F.round(c, 6).alias(c) for c in ("x_norm", "y_norm", "confidence"))).alias("v"))
+    one = priors.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(entry)))).alias("value"))
+    one.coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -9,19 +9,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from frameyard.functions.durable import materialize, release
+from frameyard.streaming.state import RunState
 
-def ingest(stream: DataFrame, decide: Callable[[DataFrame, DataFrame | None], DataFrame], state: str, checkpoint: str) -> StreamingQuery:
-    """Each batch is decided against the rows accepted before it and written under its number, so that a batch that is
-    run again overwrites itself. decide(batch, accepted before or None) returns rows with an outcome."""
+
+def ingest(stream: DataFrame, decide: Callable[[DataFrame, dict, RunState], DataFrame], state: RunState, index: list[str], checkpoint: str) -> StreamingQuery:
+    """Batches of candidates are decided one after the other against the state of the batches before: the accepted
+    rows (urls and embeddings) and the quota counts. decide(batch, manifest, state) returns rows with rank, view and
+    outcome; index names the columns of accepted rows that later batches need. A batch is committed as a whole; run
+    again, it sees the same state as the first time, or was committed and is passed over."""
 
     def step(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(state)
-        before = None
-        if root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root):
-            before = spark.read.parquet(state).where((F.col("batch") < number) & (F.col("outcome") == "accepted"))
-        decide(batch, before).write.mode("overwrite").parquet(f"{state.rstrip('/')}/batch={number}")
+        if number in state.commits():
+            return
+        decided = materialize(decide(batch, state.latest(number), state))
+        state.commit(number, decided, index)
+        release(decided)
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
