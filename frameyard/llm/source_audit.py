@@ -25,15 +25,17 @@ from frameyard.llm.common import bounded_broadcast, materialize, release
 #: A term of a language is kept from so many of its documents on; smoothing; scale of the rounded shares; ranks of terms.
 LEAST_DOCS, SMOOTH, SCALE, TOP = 30, 5, 1_000_000_000, 50
 #: Cells (sources times terms) of one task's table of shares.
-CELLS = 2_000_000
+CELLS = 500_000
+#: Digests that may be broadcast (about 32 MB); beyond, both joins go by shuffle.
+DIGESTS = 2_000_000
 #: Terms: no ASCII but letters.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def count_chunks(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """Chunks of (row, lang, source, text), none of them null: documents and occurrences per batch of rows, language,
-    source and chunk, and the rows that hold it where they are fewer than least_docs."""
+    """Chunks of (row, lang, source, text), none of them null: per batch of rows, language and chunk the number of
+    documents, the occurrences by source, and the documents' rows where they are fewer than least_docs."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -47,29 +49,30 @@ def count_chunks(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
             held, times = np.unique(doc * width + code, return_counts=True)
             doc, code = held // width, held % width
             langs, sources = lang.dictionary_encode(), source.dictionary_encode()
-            group = langs.indices.to_numpy().astype("i8") * len(sources.dictionary) + sources.indices.to_numpy()
-            by = np.argsort(key := group[doc] * width + code, kind="stable")
-            first = np.flatnonzero(np.diff(key[by], prepend=-1))
-            n = np.diff(first, append=len(by))
+            many = max(1, len(sources.dictionary))
+            key = (langs.indices.to_numpy().astype("i8")[doc] * width + code) * many + sources.indices.to_numpy()[doc]
+            by = np.argsort(key, kind="stable")
+            use = np.flatnonzero(np.diff(key[by], prepend=-1))  # where a language, chunk and source begin
+            of_use = key[by[use]]
+            first = np.flatnonzero(np.diff(of_use // many, prepend=-1))  # the first of them with a language and chunk
+            n = np.diff(use[first], append=len(by))
             rare = n < least_docs
+            uses = pa.StructArray.from_arrays(
+                [sources.dictionary.take(pa.array(of_use % many)), pa.array(np.add.reduceat(times[by], use) if len(use) else [], pa.int64())], ["source", "times"]
+            )
             at = np.zeros(len(first) + 1, "i4")
             np.cumsum(np.where(rare, n, 0), out=at[1:])
-            ids = pa.ListArray.from_arrays(
-                pa.array(at), row.take(pa.array(doc[by][np.repeat(rare, n)])), mask=pa.array(~rare)
-            )
-            group = group[doc[by[first]]]
             yield pa.RecordBatch.from_arrays(
                 [
-                    langs.dictionary.take(pa.array(group // max(1, len(sources.dictionary)))),
-                    sources.dictionary.take(pa.array(group % max(1, len(sources.dictionary)))),
-                    chunks.dictionary.take(pa.array(code[by[first]])), pa.array(n, pa.int64()),
-                    pa.array(np.add.reduceat(times[by], first) if len(first) else [], pa.int64()), ids,
+                    langs.dictionary.take(pa.array(of_use[first] // many // width)), chunks.dictionary.take(pa.array(of_use[first] // many % width)), pa.array(n, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(np.append(first, len(use)), pa.int32()), uses),
+                    pa.ListArray.from_arrays(pa.array(at), row.take(pa.array(doc[by][np.repeat(rare, n)])), mask=pa.array(~rare)),
                 ],
-                ["lang", "source", "chunk", "docs", "times", "rows"],
+                ["lang", "chunk", "docs", "uses", "rows"],
             )
 
     return docs.select("row", "lang", "source", "text").mapInArrow(
-        scan, "lang string, source string, chunk string, docs long, times long, rows array<long>"
+        scan, "lang string, chunk string, docs long, uses array<struct<source: string, times: long>>, rows array<long>"
     )
 
 
@@ -145,8 +148,12 @@ def source_audit(
     rows = docs.select(F.monotonically_increasing_id().alias("row"), text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text"))
     counted = materialize(count_chunks(rows, least_docs))
     wanted = _kept(counted, least_docs)
-    occur = counted.select("lang", "source", "chunk", "times").join(bounded_broadcast(wanted), ["lang", "chunk"])
-    count = materialize(occur.groupBy("lang", "source", "term").agg(F.sum(F.col("times") * F.col("n")).alias("count")))
+    # most chunks have no kept term: they are left by a digest, eight bytes a chunk, before the exact join
+    digest = F.xxhash64("lang", "chunk").alias("digest")
+    known = bounded_broadcast(materialize(wanted.select(digest).distinct()), DIGESTS)
+    occur = counted.select("lang", "chunk", "uses", digest).join(known, "digest", "left_semi").join(bounded_broadcast(wanted), ["lang", "chunk"])
+    occur = occur.select("lang", "term", "n", F.explode("uses").alias("use"))
+    count = materialize(occur.groupBy("lang", "use.source", "term").agg(F.sum(F.col("use.times") * F.col("n")).alias("count")))
     release(counted)
 
     whole = count.groupBy("lang", "term").agg(F.sum("count").alias("whole"))
