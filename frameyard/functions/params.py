@@ -29,6 +29,12 @@ LOCKED_PAIRS = (
     ("body_waist_front", "body_waist_rear"), ("panel_front", "panel_rear"),
 )
 FLIP_PAIRS = LOCKED_PAIRS + (("front_wheel_center", "rear_wheel_center"), ("front_wheel_ground", "rear_wheel_ground"))
+#: Keypoints by the phase in which they are labelled. Fixed values.
+PHASES = {
+    "phase1": ("front_wheel_center", "front_wheel_ground", "rear_wheel_center", "rear_wheel_ground", "ground_ref"),
+    "phase2": ("front_bumper", "rear_bumper", "roof_apex", "hood_edge", "windshield_base", "rear_glass_base", "side_window_top_front", "side_window_top_rear"),
+    "phase3": ("fender_arch_front", "fender_arch_rear", "body_waist_front", "body_waist_rear", "panel_front", "panel_rear"),
+}
 #: What a warning takes off the quality score; any other takes 0.02.
 PENALTIES = {
     "fallback_wheels": 0.10, "non_90_pov": 0.25, "phase1_low_confidence": 0.20, "invalid_geometry": 0.07,

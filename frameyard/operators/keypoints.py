@@ -108,39 +108,55 @@ def wheels_from_points(wide: DataFrame) -> DataFrame:
     )
 
 
-def estimate_keypoints(wheels: DataFrame, priors: DataFrame | None = None) -> DataFrame:
-    """All 19 keypoints of each image from its wheels: (stem, ord, label, x, y, confidence). A plausible learned
-    prior beats the template; pairs whose order contradicts the heading are swapped."""
-    spark = wheels.sparkSession
-    template = template_priors(spark)
-    names = spark.createDataFrame(list(enumerate(P.KEYPOINTS)), "ord int, label string").join(template, "label", "left")
+def estimate_wide(wheels: DataFrame, priors: DataFrame | None = None) -> DataFrame:
+    """The rows of wheels with a struct (x, y, confidence) for each of the 19 keypoints, and lost, in one
+    projection: no row is multiplied and nothing is shuffled. A plausible learned prior beats the template; pairs whose
+    order contradicts the heading are swapped. priors has at most a row a keypoint."""
+    known = {n: (x, y, c) for n, x, y, c in _template_values()}
     if priors is not None:
-        learned = plausible_priors(priors.select("label", "x_norm", "y_norm", "confidence"), template)
-        learned = learned.select(F.col("label").alias("_l"), F.col("x_norm").alias("_x"), F.col("y_norm").alias("_y"), F.col("confidence").alias("_c"))
-        names = names.join(F.broadcast(learned), F.col("label") == F.col("_l"), "left").select(
-            "ord", "label", F.coalesce("_x", "x_norm").alias("x_norm"), F.coalesce("_y", "y_norm").alias("y_norm"), F.coalesce("_c", "confidence").alias("confidence"))
-    names = names.select("ord", "label", "x_norm", "y_norm", F.col("confidence").alias("prior"))
+        template = template_priors(wheels.sparkSession)
+        learned = plausible_priors(priors.select("label", "x_norm", "y_norm", "confidence"), template).collect()
+        known |= {r["label"]: (r["x_norm"], r["y_norm"], r["confidence"]) for r in learned if r["label"] in known}
     c = {k: F.col(k) for k in ("front_cx", "front_cy", "front_gx", "front_gy", "rear_cx", "rear_cy", "rear_gx", "rear_gy", "confidence")}
     wb = F.abs(c["front_cx"] - c["rear_cx"])
     radius = (F.abs(c["front_gy"] - c["front_cy"]) + F.abs(c["rear_gy"] - c["rear_cy"])) / 2.0
     dy = F.abs(c["front_gy"] - c["rear_gy"])
-    way = F.when(c["front_cx"] >= c["rear_cx"], 1.0).otherwise(-1.0)
-    lost = (wb < 20) | (radius < 8)
-    at = lambda axis: (
-        F.when(F.col("label") == "front_wheel_center", c[f"front_c{axis}"]).when(F.col("label") == "front_wheel_ground", c[f"front_g{axis}"])
-        .when(F.col("label") == "rear_wheel_center", c[f"rear_c{axis}"]).when(F.col("label") == "rear_wheel_ground", c[f"rear_g{axis}"])
-        .when(F.col("label") == "ground_ref", (c[f"front_g{axis}"] + c[f"rear_g{axis}"]) / 2.0)
-    )
-    x = at("x").otherwise(c["rear_gx"] + way * F.col("x_norm") * wb)
-    y = at("y").otherwise(c["rear_gy"] + F.col("y_norm") * radius)
-    fused = (0.60 * c["confidence"]) + (0.25 * geometry_score(wb, radius, dy)) + (0.15 * F.col("prior"))
-    fused = clamp(fused - F.when(dy <= radius * 0.5, 0.0).otherwise(0.3), 0.25, 1.0)
-    conf = F.when(F.col("label").isin(*P.WHEELS, "ground_ref"), c["confidence"]).otherwise(fused)
-    long = wheels.crossJoin(F.broadcast(names)).select(  # 19 rows a side
-        "stem", "ord", "label", orientation("front_cx", "rear_cx").alias("heading"),
-        F.when(lost, 0.0).otherwise(x).alias("x"), F.when(lost, 0.0).otherwise(y).alias("y"), F.when(lost, 0.2).otherwise(conf).alias("confidence"), lost.alias("lost"),
+    base = wheels.select(
+        "*", wb.alias("_wb"), radius.alias("_r"), F.when(c["front_cx"] >= c["rear_cx"], 1.0).otherwise(-1.0).alias("_way"), ((wb < 20) | (radius < 8)).alias("lost"),
+        ((0.60 * c["confidence"]) + (0.25 * geometry_score(wb, radius, dy))).alias("_fused"), F.when(dy <= radius * 0.5, 0.0).otherwise(0.3).alias("_off"), orientation("front_cx", "rear_cx").alias("_heading"),
     )
-    return enforce_pairs(long).select("stem", "ord", "label", "x", "y", "confidence")
+    given = {f"{side}_wheel_{part}": (c[f"{side}_{p}x"], c[f"{side}_{p}y"]) for side in ("front", "rear") for part, p in (("center", "c"), ("ground", "g"))}
+    given["ground_ref"] = tuple((c[f"front_g{axis}"] + c[f"rear_g{axis}"]) / 2.0 for axis in "xy")
+
+    def point(name: str) -> Column:
+        if name in given:
+            x, y, conf = *given[name], c["confidence"]
+        else:
+            xn, yn, prior = known[name]
+            x, y = c["rear_gx"] + F.col("_way") * F.lit(xn) * F.col("_wb"), c["rear_gy"] + F.lit(yn) * F.col("_r")
+            conf = clamp(F.col("_fused") + 0.15 * F.lit(prior) - F.col("_off"), 0.25, 1.0)
+        lost = F.col("lost")
+        return F.struct(F.when(lost, 0.0).otherwise(x).alias("x"), F.when(lost, 0.0).otherwise(y).alias("y"), F.when(lost, 0.2).otherwise(conf).alias("confidence"))
+
+    named = base.select("*", *(point(n).alias(f"_{n}") for n in P.KEYPOINTS))
+    partner = {a: b for p in P.LOCKED_PAIRS for a, b in (p, p[::-1])}
+    fronts = {f for f, _ in P.LOCKED_PAIRS}
+
+    def placed(name: str) -> Column:
+        if name not in partner:
+            return F.col(f"_{name}")
+        front, rear = (name, partner[name]) if name in fronts else (partner[name], name)
+        fx, rx = F.col(f"_{front}")["x"], F.col(f"_{rear}")["x"]
+        wrong = ((F.col("_heading") == "right-looking") & (fx < rx)) | ((F.col("_heading") == "left-looking") & (fx > rx))
+        return F.when(~F.col("lost") & wrong, F.col(f"_{partner[name]}")).otherwise(F.col(f"_{name}"))
+
+    return named.select(*wheels.columns, "lost", *(placed(n).alias(n) for n in P.KEYPOINTS))
+
+
+def estimate_keypoints(wheels: DataFrame, priors: DataFrame | None = None) -> DataFrame:
+    """K9 in long form: (stem, ord, label, x, y, confidence)."""
+    points = F.array(*(F.struct(F.lit(i).alias("ord"), F.lit(n).alias("label"), F.col(n)["x"].alias("x"), F.col(n)["y"].alias("y"), F.col(n)["confidence"].alias("confidence")) for i, n in enumerate(P.KEYPOINTS)))
+    return estimate_wide(wheels, priors).select("stem", F.explode(points).alias("p")).select("stem", "p.*")
 
 
 def enforce_pairs(long: DataFrame) -> DataFrame:

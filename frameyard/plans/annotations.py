@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from frameyard.functions import params as P
@@ -67,17 +67,28 @@ d AS (SELECT stem, any_value(k) AS k, {", ".join(f"max(x) FILTER (label = '{n}')
 
 
 def _wide(x: Inputs) -> DataFrame:
-    w = _wheels(x)
-    long = K.estimate_keypoints(w).join(w.select("stem", "k"), "stem")
-    moved = F.when((F.col("label") == "front_bumper") & (F.col("k") % 5 == 0), -400.0).when((F.col("label") == "rear_bumper") & (F.col("k") % 7 == 0), 300.0).otherwise(0.0)
-    long = long.withColumn("x", F.col("x") + moved).withColumn("y", F.col("y") + F.when((F.col("label") == "hood_edge") & (F.col("k") % 6 == 0), -500.0).otherwise(0.0))
-    gone = ((F.col("label") == "roof_apex") & (F.col("k") % 9 == 0)) | ((F.col("label") == "rear_bumper") & (F.col("k") % 11 == 0))
-    return K.pivot_keypoints(long.where(~gone))
+    """Estimates with points moved or missing, in the row of their wheels."""
+    wide, k = K.estimate_wide(_wheels(x)), F.col("k")
+
+    def moved(n: str) -> Column:
+        dx = {"front_bumper": F.when(k % 5 == 0, -400.0), "rear_bumper": F.when(k % 7 == 0, 300.0)}.get(n)
+        dy = {"hood_edge": F.when(k % 6 == 0, -500.0)}.get(n)
+        p = F.col(n)
+        point = F.struct(*((p[a] if d is None else p[a] + d.otherwise(0.0)).alias(a) for a, d in (("x", dx), ("y", dy))), p["confidence"].alias("confidence"))
+        gone = {"roof_apex": k % 9 == 0, "rear_bumper": k % 11 == 0}.get(n)
+        return (point if gone is None else F.when(~gone, point)).alias(n)
+
+    wide = wide.select("stem", *map(moved, P.KEYPOINTS))
+    conf = F.array_compact(F.array(*(F.col(n)["confidence"] for n in P.KEYPOINTS)))
+    return wide.withColumn("avg_confidence", F.try_divide(F.aggregate(conf, F.lit(0.0), lambda s, v: s + v), F.size(conf)))
 
 
 @query("k3_pivot", f"WITH {WIDE} SELECT stem, CAST(round(front_bumper_x, 4) AS DOUBLE) AS front_x, CAST(round(rear_bumper_x, 4) AS DOUBLE) AS rear_x, CAST(round(roof_apex_y, 4) AS DOUBLE) AS roof_y FROM d")
 def k3(x: Inputs) -> DataFrame:
-    return _wide(x).select("stem", F.round("front_bumper.x", 4).alias("front_x"), F.round("rear_bumper.x", 4).alias("rear_x"), F.round("roof_apex.y", 4).alias("roof_y"))
+    wide = _wide(x)
+    each = F.array(*(F.struct(F.lit(n).alias("label"), F.col(n).alias("p")) for n in ("front_bumper", "rear_bumper", "roof_apex")))
+    long = wide.select("stem", F.explode(each).alias("e")).where("e.p IS NOT NULL").select("stem", "e.label", "e.p.*")
+    return K.pivot_keypoints(long).select("stem", F.round("front_bumper.x", 4).alias("front_x"), F.round("rear_bumper.x", 4).alias("rear_x"), F.round("roof_apex.y", 4).alias("roof_y"))
 
 
 WB, A, B = "abs(front_wheel_center_x - rear_wheel_center_x)", "abs(front_wheel_ground_y - front_wheel_center_y)", "abs(rear_wheel_ground_y - rear_wheel_center_y)"
