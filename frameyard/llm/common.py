@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import ctypes
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from frameyard.functions.durable import BROADCAST_ROWS, bounded_broadcast, materialize, release, shared_dir
 
-__all__ = ["BROADCAST_ROWS", "bounded_broadcast", "connected_components", "give_back", "materialize", "release", "shared_dir", "table"]
+__all__ = ["BROADCAST_ROWS", "bounded_broadcast", "connected_components", "give_back", "materialize", "release", "shared_dir", "small_batches", "table"]
 
 
 def give_back() -> None:
@@ -21,6 +23,19 @@ def give_back() -> None:
         trim(0)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Queries that run inside hand at most so many rows at once to Python workers (Spark's own default is 10,000): the
+    JVM and the workers each hold a batch or two, which counts where the rows are whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
