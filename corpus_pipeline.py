@@ -4,11 +4,12 @@ returns documents again; the last returns packed sequences."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frameyard.llm.common import bounded_broadcast, materialize, table
+from frameyard.llm.common import bounded_broadcast, materialize, small_batches, table
 from frameyard.llm.decontam import decontaminate
 from frameyard.llm.jaccard_join import jaccard_join
 from frameyard.llm.packing import pack_documents
@@ -20,6 +21,8 @@ from frameyard.llm.toxicity import score_toxicity
 SHINGLE, PERCENT = 5, 80
 #: Chunks that a packing worker remembers: less than by itself, as the earlier stages' workers still live.
 CACHE = 50_000
+#: Documents that a stage hands to a Python worker at once: buffers of early stages stay with the JVM through the later ones.
+BATCH = 1000
 #: The stages' own name for a row: ids may be missing, repeated, or stand for several texts.
 ROW = "_corpus_pipeline_row"
 
@@ -35,6 +38,16 @@ def _without(numbered: DataFrame, rejected: DataFrame) -> DataFrame:
     return numbered.join(gone, ROW, "left_anti").select(*(c for c in numbered.columns if c != ROW))
 
 
+def _in_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with small_batches(spark, BATCH):
+            return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@_in_small_batches
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text is predicted toxic go; other texts under the same id stay, rows without an id are judged like the
     others. A null or empty text gets the rate of examples without a term and so stays unless most of those are toxic;
@@ -43,6 +56,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(rows, score_toxicity(rows, table(spark, sf_dir, "labels"), key_col=ROW).where("predicted = 1"))
 
 
+@_in_small_batches
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by n-gram Jaccard (SHINGLE words, PERCENT) one row stays: the least by id, digest of the
     text, and place among the rows. Rows without an id come last; repeated rows are a group; null, empty and wordless
@@ -69,6 +83,7 @@ def mask_found_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return mask_secrets(docs, length_col="n_chars")
 
 
+@_in_small_batches
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left is packed into sequences, one row per piece; a null or empty text is its end token alone, repeated
     rows are packed each, no rows give none."""
