@@ -36,6 +36,13 @@ def materialize(df: DataFrame, parts: int | None = None) -> DataFrame:
     return out
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df with its columns computed once a row. Spark merges a projection into the one above it and so repeats an
+    expression wherever it is used; over a dozen steps that grows without bound. A generator of one row keeps them apart,
+    without a shuffle or a write."""
+    return df.select(F.explode(F.array(F.struct("*"))).alias("_row")).select("_row.*")
+
+
 def release(df: DataFrame) -> None:
     """Delete a materialized table that no later step reads."""
     if path := getattr(df, "_frameyard_path", None):

@@ -204,7 +204,7 @@ def geometry_warnings(wide: DataFrame, wheels: bool = True) -> DataFrame:
 
 def wheels_from_boxes(images: DataFrame, boxes: DataFrame) -> DataFrame:
     """Wheels of each image (stem, width, height, heading) from its two boxes of highest confidence; images with fewer
-    than two boxes get anchors by image size, with no detections."""
+    than two boxes get anchors by image size, with no detections. Other columns of images come along."""
     rank = Window.partitionBy("stem").orderBy(F.desc("conf"), "box_idx")
     box = F.struct(((F.col("x1") + F.col("x2")) / 2).alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"), F.col("y2").alias("gy"), "conf", F.greatest(F.lit(1.0), (F.col("y2") - F.col("y1")) / 2.0).alias("radius"))
     two = boxes.withColumn("_k", F.row_number().over(rank)).where("_k <= 2").groupBy("stem").agg(
@@ -224,7 +224,7 @@ def wheels_from_boxes(images: DataFrame, boxes: DataFrame) -> DataFrame:
             F.when(found, got["radius"]).otherwise(F.abs(0.84 * h - 0.73 * h)).alias(f"{side}_radius_px"),
         ]
     return out.select(
-        "stem", "width", "height", "heading", *cols, F.when(found, (F.col("l.conf") + F.col("r.conf")) / 2).otherwise(0.35).alias("confidence"),
+        *images.columns, *cols, F.when(found, (F.col("l.conf") + F.col("r.conf")) / 2).otherwise(0.35).alias("confidence"),
         F.when(found, 2).otherwise(0).alias("source_detections"),
     )
 

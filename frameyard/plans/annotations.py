@@ -9,6 +9,7 @@ from frameyard.functions import params as P
 from frameyard.functions.columns import geometry_score, orientation
 from frameyard.operators import keypoints as K
 from frameyard.operators import reports
+from frameyard.operators.suggest import suggest
 from frameyard.plans.bind import BOXES, IMAGES, WHEELS, Inputs, duck, query
 from frameyard.plans.gates import NORMAL, _normal
 
@@ -240,3 +241,49 @@ def k17(x: Inputs) -> DataFrame:
     raw = f"""CASE WHEN k % 13 = 0 THEN 'broken' ELSE concat('{{{{"shapes": [', CASE WHEN k % 5 = 0 THEN '"stray", ' ELSE '' END, {shapes}, '], "imageWidth": ', CAST(width + 900 AS STRING), ', "imageHeight": ', CAST(height AS STRING), '}}}}') END"""
     docs = x.sql(f"SELECT stem, {raw} AS raw FROM ({WHEELS}) AS s0")
     return K.rebuild_7(docs).select("stem", "status", "reason")
+
+
+#: Images of a suggestion run: with or without a predicted heading, a few unreadable.
+ASKED = f"""SELECT stem, CASE WHEN CAST(stem AS BIGINT) % 97 <> 0 THEN width END AS width, height, CASE CAST(stem AS BIGINT) % 3 WHEN 0 THEN 'left-looking' WHEN 1 THEN 'right-looking' END AS heading,
+    CAST(CAST(stem AS BIGINT) % 100 AS DOUBLE) / 100.0 AS heading_confidence, CAST(CAST(stem AS BIGINT) % 7 AS DOUBLE) / 10.0 AS heading_margin FROM ({WHEELS}) AS i0"""
+#: Boxes around the wheels, in a few images of too little confidence.
+SEEN = " UNION ALL ".join(
+    f"""SELECT stem, {i} AS box_idx, CASE WHEN k % 13 = 0 THEN 0.2e0 ELSE confidence END AS conf, {s}_cx - {s}_radius_px AS x1, {s}_cy - {s}_radius_px AS y1, {s}_cx + {s}_radius_px AS x2, {s}_gy AS y2 FROM ({WHEELS}) AS b{i}"""
+    for i, s in enumerate(("front", "rear"))
+)
+OLD = "CAST(stem AS BIGINT) % 11 = 0"
+_AT = lambda side, part: "CASE WHEN found THEN {0}.{1} ELSE CAST({2} AS DOUBLE) * {3} END".format(side[0], *{"cx": ("cx", "CASE WHEN (heading = 'left-looking') = {0} THEN 0.30 ELSE 0.72 END".format("true" if side == "front" else "false"), "width"), "cy": ("cy", "0.73", "height"), "gy": ("gy", "0.84", "height")}[part])
+FOUND = f"""WITH i AS (SELECT stem, width, height, heading AS predicted, coalesce(heading, 'right-looking') AS heading, {OLD} AS old FROM ({duck(ASKED)})), k AS (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY conf DESC, box_idx) AS k FROM ({duck(SEEN)}) WHERE conf >= 0.25),
+t AS (SELECT stem, list({{'cx': (x1 + x2) / 2, 'cy': (y1 + y2) / 2, 'gy': y2, 'conf': conf, 'r': greatest(1.0, (y2 - y1) / 2.0)}} ORDER BY x1 + x2, k) AS bs FROM k WHERE k <= 2 GROUP BY 1),
+u AS (SELECT i.*, coalesce(len(bs) = 2, false) AS found, CASE heading WHEN 'left-looking' THEN bs[1] ELSE bs[2] END AS f, CASE heading WHEN 'left-looking' THEN bs[2] ELSE bs[1] END AS r FROM i LEFT JOIN t USING (stem))
+SELECT stem, width, height, predicted, old, {", ".join(f"{_AT(s, p)} AS {s}_{q}" for s in ("front", "rear") for p, q in (("cx", "cx"), ("cy", "cy"), ("cx", "gx"), ("gy", "gy")))},
+{", ".join(f"CASE WHEN found THEN {s[0]}.r ELSE abs(CAST(0.84 AS DOUBLE) * height - CAST(0.73 AS DOUBLE) * height) END AS {s}_radius_px" for s in ("front", "rear"))},
+CASE WHEN found THEN (f.conf + r.conf) / 2 ELSE 0.35 END AS confidence, CASE WHEN found THEN 2 ELSE 0 END AS source_detections FROM u"""
+_GIVEN = "((front_radius_px + rear_radius_px) / 2.0)"
+AGAINST = f"""concat_ws('|', CASE WHEN abs(front_cx - rear_cx) / width < 0.32 THEN 'non_side_view' END, CASE WHEN abs(front_cx - rear_cx) / {_GIVEN} < 4.0 THEN 'non_side_view' END,
+CASE WHEN greatest(front_gy, rear_gy) / height < 0.55 THEN 'non_side_view' END)"""
+_OF = lambda n, c: f"max({c}) FILTER (label = '{n}')"
+SAID = {
+    "orientation_clip": "predicted IS NOT NULL", "fallback_wheels": "source_detections = 0", "wheel_misalignment": "abs(front_gy - rear_gy) > 100 AND NOT lost", "invalid_geometry": "hood_edge_y <= roof_apex_y",
+    "invalid_geometry:2": "front_bumper_y <= roof_apex_y", "invalid_geometry:3": "rear_bumper_y <= roof_apex_y", "orientation_ambiguous": "bumpers = 'ambiguous'",
+    "invalid_geometry:4": "bumpers <> 'ambiguous' AND wheels <> 'ambiguous' AND bumpers <> wheels", "invalid_wheelbase": "(CASE WHEN lost THEN 0.0 ELSE abs(front_cx - rear_cx) END) NOT BETWEEN 40 AND 5000", "low_confidence": "n_low > 5",
+    "non_90_pov": "greatest(front_radius_px, rear_radius_px) / greatest(least(front_radius_px, rear_radius_px), 0.000001) > 1.20", "phase1_low_confidence": "least(confidence, CASE WHEN lost THEN 0.2 ELSE 1.0 END) < 0.75",
+    "non_90_pov:2": "n_out > 2",
+}
+COST = " + ".join(f"CASE WHEN {c} THEN {P.PENALTIES.get(k.split(':')[0], P.OTHER_PENALTY)!r} ELSE 0.0 END" for k, c in SAID.items())
+SUGGESTED = f"""{ESTIMATED.replace(f"w AS ({duck(WHEELS)})", f"w AS MATERIALIZED ({FOUND})").replace(", f AS (", ", f AS MATERIALIZED (")}, g AS (SELECT f.stem, {", ".join(f"{_OF(n, c)} AS {n}_{c}" for n, c in (("hood_edge", "y"), ("roof_apex", "y"), ("front_bumper", "x"), ("front_bumper", "y"), ("rear_bumper", "x"), ("rear_bumper", "y")))},
+({" + ".join(_OF(n, 'conf') for n in P.KEYPOINTS)}) / {float(len(P.KEYPOINTS))!r} AS average, count(*) FILTER (conf < 0.5) AS n_low, count(*) FILTER (f.x < 0 OR f.x > width OR f.y < 0 OR f.y > height) AS n_out FROM f JOIN (SELECT stem, width, height FROM w) USING (stem) GROUP BY 1),
+j AS (SELECT m.*, g.* EXCLUDE (stem), m.heading AS wheels, {HEAD.format(a='front_bumper_x', b='rear_bumper_x')} AS bumpers, wb < 20 OR r < 8 AS lost, {AGAINST} AS against FROM m JOIN g USING (stem)),
+s AS (SELECT *, CASE WHEN old THEN 'exists' WHEN width IS NULL THEN 'unreadable' WHEN found AND against <> '' THEN 'gated' ELSE 'ok' END AS state, concat_ws('|', {", ".join(f"CASE WHEN {c} THEN '{k.split(':')[0]}' END" for k, c in SAID.items())}) AS codes,
+least(greatest(average - CASE source_detections WHEN 0 THEN 0.25 ELSE 0.0 END - ({COST}) - least(0.2, 0.02 * n_out), 0.0), 1.0) AS score FROM (SELECT *, source_detections = 2 AS found FROM j))"""
+
+
+@query("k14b_suggest", f"""WITH {SUGGESTED} SELECT stem, state = 'ok' AS success, CASE WHEN state IN ('ok', 'gated') THEN source_detections ELSE 0 END AS wheel_detections, CASE WHEN state = 'ok' THEN 19 ELSE 0 END AS keypoints_estimated,
+CAST(round(CASE state WHEN 'ok' THEN average WHEN 'gated' THEN confidence ELSE 0.0 END, 6) AS DOUBLE) AS avg_confidence, CASE state WHEN 'ok' THEN codes WHEN 'gated' THEN concat_ws('|', CASE WHEN predicted IS NOT NULL THEN 'orientation_clip' END, against) WHEN 'exists' THEN 'File already exists' ELSE '' END AS codes,
+CAST(round(CASE WHEN state = 'ok' THEN score ELSE 0.0 END, 6) AS DOUBLE) AS quality_score, CASE WHEN state <> 'ok' OR regexp_matches(codes, 'non_90_pov|phase1_low_confidence') OR score < 0.55 OR source_detections = 0 OR n_out > 2 THEN 'REVIEW_HIGH' WHEN score < 0.75 THEN 'REVIEW_MEDIUM' ELSE 'REVIEW_LOW' END AS review_priority,
+CASE state WHEN 'ok' THEN bumpers WHEN 'gated' THEN coalesce(predicted, 'unknown') ELSE 'unknown' END AS orientation, CAST(CASE WHEN state = 'ok' THEN n_out ELSE 0 END AS INTEGER) AS out_of_frame_count,
+CASE state WHEN 'gated' THEN 'rejected_non_side_view' WHEN 'unreadable' THEN 'Failed to read image' END AS error FROM s""")
+def k14b(x: Inputs) -> DataFrame:
+    images = x.sql(ASKED)
+    out = suggest(images, x.sql(SEEN), existing=images.where(OLD))
+    return out.select("stem", "success", "wheel_detections", "keypoints_estimated", F.round("avg_confidence", 6).alias("avg_confidence"), _codes().alias("codes"), F.round("quality_score", 6).alias("quality_score"), "review_priority", "orientation", "out_of_frame_count", "error")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frameyard.functions.durable import materialize, shared_dir
-from frameyard.operators import dedup, reports, staging
+from frameyard.operators import cascade, dedup, gates, reports, staging
 from frameyard.plans.bind import Inputs, duck, query
 from frameyard.sources import sinks
 from frameyard.streaming import jobs
@@ -114,3 +115,60 @@ def s14_d5_second_run(x: Inputs) -> DataFrame:
     left = {v: max(0, n - counts.get(v, 0)) for v, n in TARGETS.items()}
     second = dedup.continue_run(shots.where(F.col("rank") > half), seeds, left, _too_small(), NEAR, block=256)
     return first.unionByName(second).select("rank", "view", "outcome")
+
+
+#: The shots with bytes and sizes; the scorers below make up what models would see, by arithmetic on the rank.
+PHOTOS = """SELECT vec_id + 1 AS rank, CASE label % 3 WHEN 0 THEN 'front' WHEN 1 THEN 'side' ELSE 'rear' END AS view, concat('u', CAST((vec_id * 7) % 400 AS STRING)) AS url, embedding,
+    CASE WHEN vec_id % 37 = 5 THEN '' ELSE 'bytes' END AS content, CASE WHEN vec_id % 41 = 6 THEN -1 ELSE CAST(400 + (vec_id * 37) % 900 AS INT) END AS width, CAST(200 + (vec_id * 53) % 220 AS INT) AS height FROM {embeddings}"""
+#: Scores: column, factor, modulus, divisor, offset.
+FAKES = {
+    "detector": (("area", 13, 50, 100.0, 0.27), ("cx", 29, 30, 100.0, 0.35), ("cy", 23, 20, 100.0, 0.40), ("w", 31, 40, 100.0, 0.42), ("h", 17, 30, 100.0, 0.40), ("cars", 1, 43, 1.0, 0.0)),
+    "faces": (("n_faces", 1, 29, 28.0, 0.0),),
+    "prompts": (("photo", 7, 40, 100.0, 0.52), ("drawn", 11, 20, 100.0, 0.30), ("inside", 13, 46, 100.0, 0.02), ("outside", 3, 10, 100.0, 0.44), ("noisy", 5, 40, 100.0, 0.0), ("clean", 9, 50, 100.0, 0.30),
+                ("straight", 19, 40, 100.0, 0.50), ("angled", 7, 20, 100.0, 0.32)),
+    "views": (("confidence", 21, 39, 100.0, 0.58), ("margin", 33, 40, 100.0, 0.08)),
+}
+
+
+def _fake(name: str) -> cascade.Scorer:
+    def make():
+        return lambda pdf: pd.DataFrame({c: (pdf["rank"] * f % m).astype("f8") / d + o for c, f, m, d, o in FAKES[name]})
+
+    c = F.col
+    found = {
+        "detector": [
+            ("rejected_no_car", F.when(c("cars") == 4, "no_detections").when(c("area") < 0.30, "car_area_below_ratio")), ("rejected_truncated", gates.truncation_reason()),
+        ],
+        "faces": [("rejected_has_face", F.when(c("n_faces") >= 1, ""))],
+        "prompts": [
+            ("rejected_not_real", F.when(~gates.margin_passes("real", "photo", "drawn"), "")), ("rejected_interior", F.when(gates.margin_passes("interior", "inside", "outside"), "")),
+            ("rejected_noisy", F.when(~gates.margin_passes("clean", "noisy", "clean"), "")), ("rejected_angle", F.when(~gates.margin_passes("straight", "straight", "angled"), "3q_or_diagonal")),
+        ],
+        "views": [("rejected_view_unsure", gates.view_reason())],
+    }[name]
+    return cascade.Scorer(name, make, ", ".join(f"{c[0]} double" for c in FAKES[name]), found)
+
+
+SCORED = ", ".join(f"CAST(rank * {f} % {m} AS DOUBLE) / {d!r} + {o!r} AS {c}" for cols in FAKES.values() for c, f, m, d, o in cols)
+ASPECT = "CAST(width AS DOUBLE) / height"
+GATED = f"""CASE WHEN content = '' THEN ['rejected_download', 'empty_response'] WHEN width < 0 THEN ['rejected_download', 'decode_failed']
+WHEN {ASPECT} < 1.10 THEN ['rejected_heuristic', 'portrait_or_square:' || printf('%.2f', {ASPECT})] WHEN {ASPECT} > 4.0 THEN ['rejected_heuristic', 'panoramic:' || printf('%.2f', {ASPECT})]
+WHEN cars = 4 THEN ['rejected_no_car', 'no_detections'] WHEN area < 0.30 THEN ['rejected_no_car', 'car_area_below_ratio']
+WHEN cx - w / 2 < 0 THEN ['rejected_truncated', 'truncated_left:' || printf('%.2f', cx - w / 2)] WHEN cx + w / 2 > 1 THEN ['rejected_truncated', 'truncated_right:' || printf('%.2f', cx + w / 2)]
+WHEN cy - h / 2 < 0 THEN ['rejected_truncated', 'truncated_top:' || printf('%.2f', cy - h / 2)] WHEN cy + h / 2 > 1 THEN ['rejected_truncated', 'truncated_bottom:' || printf('%.2f', cy + h / 2)]
+WHEN n_faces >= 1 THEN ['rejected_has_face', NULL] WHEN NOT (photo >= 0.55 AND photo - drawn >= 0.05) THEN ['rejected_not_real', NULL] WHEN inside > outside OR inside >= 0.45 THEN ['rejected_interior', NULL]
+WHEN NOT (noisy < 0.35 AND noisy < clean - 0.05) THEN ['rejected_noisy', NULL] WHEN straight - angled < 0.08 THEN ['rejected_angle', '3q_or_diagonal']
+WHEN confidence < 0.60 OR margin < 0.10 THEN ['rejected_view_unsure', 'conf=' || printf('%.2f', confidence) || ' margin=' || printf('%.2f', margin)] END"""
+WANTED = {"front": 9, "side": 60, "rear": 8}
+
+
+@query("g12_whole_cascade", f"""WITH RECURSIVE g AS (SELECT *, {GATED} AS gate FROM (SELECT *, {SCORED} FROM ({duck(PHOTOS)}))), s AS (SELECT rank, view, url, gate FROM g),
+v AS (SELECT rank, view, [CAST(a AS DOUBLE) for a in embedding] AS e FROM g WHERE gate IS NULL), {sequential_sql(WANTED, SIMILAR.format(by="view") + "0.2", 2, "gate")}
+SELECT rank, CASE outcome WHEN 'rejected_heuristic' THEN reason[1] WHEN 'url_seen' THEN 'rejected_dedup_clip' ELSE outcome END AS outcome,
+CASE WHEN outcome = 'rejected_heuristic' THEN reason[2] WHEN outcome = 'url_seen' THEN 'url_seen' WHEN outcome IN ('rejected_quota_full', 'rejected_dedup_clip') THEN view END AS reason_detail FROM d JOIN w USING (i)""")
+def g12_whole(x: Inputs) -> DataFrame:
+    cheap = [("rejected_download", gates.decoded_reason()), ("rejected_heuristic", gates.size_reason())]
+    gated, _ = cascade.score_cascade(x.sql(PHOTOS), cheap, [_fake(n) for n in FAKES], ["content", "embedding"])
+    gated = materialize(gated.select("rank", "view", "url", "embedding", "outcome", "reason_detail"))
+    decided = dedup.continue_run(gated.drop("outcome", "reason_detail").join(gated.select("rank", F.col("outcome").alias("gate")), "rank"), None, WANTED, F.col("gate"), 0.2, block=256)
+    return cascade.settle(gated, decided).select("rank", "outcome", "reason_detail")
