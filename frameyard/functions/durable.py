@@ -12,8 +12,11 @@ BROADCAST_ROWS = 400_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; only where the session names none, one of our own."""
+    """The folder that all executors share. Where the session names none, one of our own on a single machine; on a cluster
+    that is an error, for a local folder would be another one on each executor."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return (found or "/tmp/checkpoints").rstrip("/")
 
 

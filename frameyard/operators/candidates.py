@@ -42,8 +42,12 @@ def payload_url(json: str, full: str, thumb: str) -> Column:
 
 
 def filter_queries(df: DataFrame, needle: str, n: int, query: str = "query", order: str = "query_idx") -> DataFrame:
-    """C4: queries that contain needle, letters in either case; the first n."""
-    return df.where(F.contains(F.lower(query), F.lit(needle.lower()))).orderBy(order).limit(n)
+    """C4: queries that contain needle, letters in either case; the first n. That none does is an error, raised in the
+    same pass when the rows are computed."""
+    first = df.where(F.contains(F.lower(query), F.lit(needle.lower()))).orderBy(order).limit(n)
+    held = first.agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("_at"), F.struct("*").alias("_row")))).alias("_rows"))  # n rows
+    some = F.when(F.size("_rows") > 0, F.col("_rows")).otherwise(F.raise_error(F.lit(f"no query contains {needle!r}")))
+    return held.select(F.explode(some).alias("_x")).select("_x._row.*")
 
 
 def query_matrix(models: DataFrame, views: DataFrame, template: str = "%s %s") -> DataFrame:

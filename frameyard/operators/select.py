@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from frameyard.operators.candidates import rank_within, with_rank
@@ -27,6 +27,22 @@ def require_pair(df: DataFrame, other: DataFrame, key: str = "stem") -> DataFram
     return df.join(other.select(key), key, "left_semi")
 
 
+def split_pool(df: DataFrame, labelled: DataFrame, key: str = "stem") -> tuple[DataFrame, DataFrame]:
+    """The rows whose key is labelled, and those still pending; a row without a key is pending."""
+    flagged = with_flag(df, labelled, "_in", key)
+    return flagged.where("_in").drop("_in"), flagged.where("NOT _in").drop("_in")
+
+
+def attach_confirmed(images: DataFrame, labels: DataFrame, key: str = "source_path") -> tuple[DataFrame, Observation]:
+    """Images with the columns of their label (a row a key), unlisted images left out; the observation tells how many
+    were unlisted once the result has been computed, so that no second scan counts them."""
+    seen = Observation()
+    given = labels.select(F.col(key).alias("_key"), *(c for c in labels.columns if c != key), F.lit(True).alias("_listed"))
+    both = images.join(given, F.col(key) == F.col("_key"), "left").drop("_key")
+    both = both.observe(seen, F.count_if(F.col("_listed").isNull()).alias("unlisted"), F.count_if(F.col("_listed")).alias("listed"))
+    return both.where("_listed").drop("_listed"), seen
+
+
 def resolve_first(index: DataFrame, key: str, rank: list[str]) -> DataFrame:
     """The first row of each key by rank."""
     return index.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(*rank))).where("_k = 1").drop("_k")

@@ -129,7 +129,7 @@ def k15(x: Inputs) -> DataFrame:
     return K.validate_19(_wide(x)).select("stem", _codes().alias("codes"), "status")
 
 
-@query("r4_status_counts", f"WITH {CHECKED_15} SELECT count(*) FILTER (status = 'VALID') AS n_valid, count(*) FILTER (status = 'REVIEW') AS n_review, count(*) FILTER (status = 'INVALID') AS n_invalid, count(*) FILTER (codes <> '') AS n_warned FROM s")
+@query("r4_status_counts", f"WITH {CHECKED_15} SELECT count(*) FILTER (status = 'VALID') AS n_valid, count(*) FILTER (status = 'REVIEW') AS n_review, count(*) FILTER (status = 'INVALID') AS n_invalid, count(*) FILTER (codes <> '') AS n_warned, count(*) FILTER (regexp_matches(codes, 'low_confidence')) AS n_low_confidence FROM s")
 def r4(x: Inputs) -> DataFrame:
     return reports.status_counts(K.validate_19(_wide(x)))
 
@@ -220,6 +220,15 @@ def k22(x: Inputs) -> DataFrame:
     return K.prelabel_wheels(x.sql(IMAGES), x.sql(BOXES)).select("stem", "success", "boxes_written")
 
 
+@query("r3_prelabel_summary", f"""WITH i AS ({duck(IMAGES)}), b AS ({duck(BOXES)}), k AS (SELECT b.*, width, height, row_number() OVER (PARTITION BY b.stem ORDER BY conf DESC, box_idx) AS k FROM b JOIN i ON b.stem = i.stem WHERE conf >= 0.25),
+s AS (SELECT stem, count(*) AS n, count(*) FILTER (greatest(0, least(width, x2) - greatest(0, x1)) > 1 AND greatest(0, least(height, y2) - greatest(0, y1)) > 1) AS good FROM k WHERE k <= 2 GROUP BY 1),
+r AS (SELECT i.stem, coalesce(n, 0) AS n, coalesce(n, 0) >= 2 AND good > 0 AS ok, CASE WHEN coalesce(n, 0) >= 2 THEN good ELSE 0 END AS boxes FROM i LEFT JOIN s USING (stem)),
+e AS (SELECT stem || ': ' || CASE WHEN n < 2 THEN 'Detected ' || n || ' boxes (< min_boxes=2)' ELSE 'All detected boxes were invalid after normalization' END AS e FROM r WHERE NOT ok)
+SELECT count(*) AS total, count(*) FILTER (ok) AS succeeded, count(*) FILTER (NOT ok) AS failed, CAST(sum(boxes) AS BIGINT) AS boxes, (SELECT string_agg(e, ',' ORDER BY e) FROM (SELECT e FROM e ORDER BY e LIMIT 10)) AS first FROM r""")
+def r3b(x: Inputs) -> DataFrame:
+    return reports.prelabel_summary(K.prelabel_wheels(x.sql(IMAGES), x.sql(BOXES)))
+
+
 @query("k23_assemble", "SELECT CAST(p_partkey AS VARCHAR) AS stem, 'a/' || CAST(p_partkey AS VARCHAR) AS path FROM part WHERE p_partkey % 3 <> 0")
 def k23(x: Inputs) -> DataFrame:
     labels = x.sql("SELECT CAST(p_partkey AS STRING) AS stem, 'train' AS split FROM {part}")

@@ -288,6 +288,14 @@ def r10(x: Inputs) -> DataFrame:
     return reports.dataset_integrity(images, labels).select("stem", "problem")
 
 
+@query("r10_view_counts", """SELECT lang AS view, count(*) AS n_images, count(*) FILTER (d.doc_id % 13 = 0) AS n_unreadable, count(*) FILTER (l.doc_id IS NULL OR 4 + l.doc_id % 5 < 5 OR (4 + l.doc_id % 5 - 5) % 3 <> 0) AS n_problems
+FROM documents d LEFT JOIN labels l USING (doc_id) WHERE d.doc_id % 7 <> 0 GROUP BY 1""")
+def r10b(x: Inputs) -> DataFrame:
+    images = x.sql("SELECT CAST(doc_id AS STRING) AS stem, lang AS view, CASE WHEN doc_id % 13 = 0 THEN -1 ELSE 100 END AS width FROM {documents} WHERE doc_id % 7 <> 0")
+    labels = x.sql("SELECT CAST(doc_id AS STRING) AS stem, trim(repeat('1 ', CAST(4 + doc_id % 5 AS INT))) AS line FROM {labels}")
+    return reports.view_counts(images, labels)
+
+
 @query("r11_schema_purity", "SELECT source AS dir, array_to_string(list_sort(list_distinct(list(CAST(5 + 3 * (doc_id % CASE WHEN source < 'src3' THEN 1 ELSE 2 END) AS VARCHAR)))), ',') AS fields FROM documents GROUP BY 1")
 def r11(x: Inputs) -> DataFrame:
     labels = x.sql("SELECT source AS dir, trim(repeat('1 ', CAST(5 + 3 * (doc_id % CASE WHEN source < 'src3' THEN 1 ELSE 2 END) AS INT))) AS line FROM {documents}")

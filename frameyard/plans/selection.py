@@ -137,7 +137,7 @@ def j10(x: Inputs) -> DataFrame:
 
 @query("j11_confirmed_labels", "SELECT doc_id, toxic FROM documents JOIN labels USING (doc_id)")
 def j11(x: Inputs) -> DataFrame:
-    return x.table("documents").select("doc_id").join(x.table("labels").select("doc_id", "toxic"), "doc_id")
+    return select.attach_confirmed(x.table("documents").select("doc_id"), x.table("labels").select("doc_id", "toxic"), "doc_id")[0]
 
 
 @query("d1_dedupe_exact", "WITH d AS (SELECT doc_id, lang <> 'fr' AS ok, row_number() OVER (PARTITION BY sha256(text), lang <> 'fr' ORDER BY doc_id) AS k FROM documents) SELECT doc_id, ok AND k = 1 AS selected, ok AND k > 1 AS duplicate FROM d")
@@ -241,9 +241,20 @@ def r5(x: Inputs) -> DataFrame:
     return reports.warning_counts(files.coerce_quality_report(x.sql(REPORT)))
 
 
-@query("r9_match_counts", "SELECT count(*) FILTER (doc_id % 5 <> 0) AS n_train, count(*) FILTER (doc_id % 5 = 0) AS n_val, count(*) FILTER (lang = 'en') AS n_wheel, count(*) FILTER (lang = 'de') AS n_legacy, count(*) FILTER (lang NOT IN ('en', 'de')) AS n_missing FROM documents")
+@query("r9_match_counts", """SELECT count(*) FILTER (doc_id % 5 <> 0) AS n_train, count(*) FILTER (doc_id % 5 = 0) AS n_val, count(*) FILTER (lang = 'en') AS n_wheel, count(*) FILTER (lang = 'de') AS n_legacy, count(*) FILTER (lang NOT IN ('en', 'de')) AS n_missing,
+(SELECT string_agg(s, ',' ORDER BY s) FROM (SELECT lpad(CAST(doc_id AS VARCHAR), 9, '0') AS s FROM documents WHERE lang NOT IN ('en', 'de') ORDER BY s LIMIT 10)) AS first FROM documents""")
 def r9(x: Inputs) -> DataFrame:
-    return reports.match_counts(x.sql("SELECT CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, CASE lang WHEN 'en' THEN 'wheel' WHEN 'de' THEN 'legacy' END AS source_kind FROM {documents}"))
+    d = x.sql("SELECT lpad(CAST(doc_id AS STRING), 9, '0') AS stem, CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, CASE lang WHEN 'en' THEN 'wheel' WHEN 'de' THEN 'legacy' END AS source_kind FROM {documents}")
+    return reports.require_wheel_match(reports.match_counts(d, 10))
+
+
+@query("r8_pool_status", """WITH p AS (SELECT CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, lang AS class, doc_id IN (SELECT doc_id FROM labels) AS a, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS t, doc_id IN (SELECT c_custkey * 3 FROM customer) AS e FROM documents)
+SELECT grouping(split) = 1 AS whole, split, class, count(*) AS total, count(*) FILTER (a) AS n_annotated, count(*) FILTER (t) AS n_trained, count(*) FILTER (e) AS n_excepted, count(*) FILTER (NOT (a OR t OR e)) AS n_pending FROM p GROUP BY GROUPING SETS ((), (split, class))""")
+def r8(x: Inputs) -> DataFrame:
+    images = x.sql("SELECT doc_id AS stem, CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, lang AS class FROM {documents}")
+    labels = x.table("labels").withColumnRenamed("doc_id", "stem")
+    out = reports.pool_status(images, labels, labels.where("quality = 1"), x.sql("SELECT c_custkey * 3 AS stem FROM {customer}"), ["split", "class"])
+    return out.select("whole", "split", "class", "total", "n_annotated", "n_trained", "n_excepted", "n_pending")
 
 
 def _drain(x: Inputs, stream: DataFrame, mode: str, name: str) -> DataFrame:
