@@ -117,6 +117,18 @@ def j8(x: Inputs) -> DataFrame:
     return dedup.phash_pairs(x.sql(CODES), 1, 12)
 
 
+#: 64-bit codes in groups of four that differ in up to seven bits.
+CODES_64 = """SELECT p_partkey AS id, XOR((p_partkey - p_partkey % 4) * 1000003 * 42949, CASE p_partkey % 4 WHEN 0 THEN CAST(0 AS BIGINT) WHEN 1 THEN CAST(1099512676353 AS BIGINT) WHEN 2 THEN CAST(4611686018427387936 AS BIGINT) ELSE CAST(60129542144 AS BIGINT) END) AS phash FROM {part}"""
+SPARK_64 = CODES_64.replace("XOR(", "(").replace("42949, CASE", "42949 ^ CASE")
+
+
+@query("j8_phash_64", f"""WITH c AS ({duck(CODES_64)}), g AS (SELECT phash, min(id) AS least FROM c GROUP BY 1)
+SELECT least(a.least, b.least) AS a, greatest(a.least, b.least) AS b, CAST(bit_count(xor(a.phash, b.phash)) AS INTEGER) AS distance FROM g a JOIN g b ON a.phash < b.phash AND bit_count(xor(a.phash, b.phash)) <= 5
+UNION ALL SELECT least, id, 0 FROM c JOIN g USING (phash) WHERE id > least""")
+def j8_64(x: Inputs) -> DataFrame:
+    return dedup.phash_pairs(x.sql(SPARK_64))
+
+
 PAIRS = """v AS (SELECT vec_id AS id, label, [CAST(a AS DOUBLE) for a in embedding] AS e FROM embeddings), p AS (SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON a.label = b.label AND a.id < b.id
 AND list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e) * list_inner_product(b.e, b.e)) >= 0.35)"""
 

@@ -132,3 +132,22 @@ def test_quota_state_goes_by_order_over_all_chunks():
     run = lambda *chunks: {r: o for pdf in p.handleInputRows(("side",), iter(chunks), None) for r, o in zip(pdf["rank"], pdf["outcome"], strict=True)}
     assert run(chunk(9, 8), chunk(1), chunk(), chunk(5, 2, 7)) == {r: "accepted" if r in (1, 2, 5) else "rejected_quota_full" for r in (9, 8, 1, 5, 2, 7)}
     assert run(chunk(0)) == {0: "rejected_quota_full"} and p.accepted.get() == (3,)
+
+
+@pytest.mark.parametrize(("bits", "distance", "agree"), [(64, 5, 2), (64, 5, 1), (64, 3, 3), (12, 1, 2)])
+def test_phash_pairs_against_all_pairs(spark, bits, distance, agree):
+    rng = random.Random(bits + agree)
+    codes = []
+    for _ in range(60):
+        base = rng.getrandbits(bits) if rng.random() < 0.7 else rng.getrandbits(bits) & 0xFFF  # a crowd with equal high bands
+        codes += [base] + [base ^ sum({1 << rng.randrange(bits) for _ in range(rng.randrange(8))}) for _ in range(3)]
+    codes += codes[:5]
+    signed = lambda c: c - (1 << 64) if c >= 1 << 63 else c
+    rows = [(i, signed(c)) for i, c in enumerate(codes)] + [(999, None)]
+    got = dedup.phash_pairs(spark.createDataFrame(rows, "id long, phash long"), distance, bits, agree=agree).collect()
+    first = {}
+    for i, c in enumerate(codes):
+        first.setdefault(c, i)
+    want = [(min(a, b), max(a, b), (x ^ y).bit_count()) for x, a in first.items() for y, b in first.items() if x < y and (x ^ y).bit_count() <= distance]
+    want += [(first[c], i, 0) for i, c in enumerate(codes) if first[c] != i]
+    assert sorted(tuple(r) for r in got) == sorted(want) and len(want) > 5
