@@ -5,8 +5,8 @@ shard builds a graph whose adjacency lists are robust-pruned (a neighbour is dro
 it); the lists of a vector in all its shards are united. Each vector then searches its shards: greedily from the
 shard's medoids with a beam, and then on through every vector within range, the range search of the flat graph. Hits
 are verified in double precision, and a pair that several shards hold counts in the first of them only. Recall is
-audited against brute force on a sample of queries; below the target the overlap is doubled, up to all shards, where
-blocked products of everything take the place of the graphs if those still miss links.
+audited against brute force on a sample of queries; below the target the overlap is doubled, and from half of all
+shards on blocked products take the place of the graphs, in which every two parts of a label meet once.
 """
 
 from __future__ import annotations
@@ -189,11 +189,20 @@ def _adjacency(rows: DataFrame) -> DataFrame:
     return lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))  # overlap lists at most
 
 
-def _range_search(rows: DataFrame, adjacency: DataFrame, least: float, exact: bool = False) -> DataFrame:
+def _all_rows(reps: DataFrame) -> DataFrame:
+    """Rows for the exact way: one per vector, the whole label as one shard in parts, so that two parts meet no matter
+    how many shards there were."""
+    sizes = reps.groupBy(F.col("label").alias("l")).agg(F.ceil(F.count("*") / (2 * SHARD)).alias("parts"))
+    rows = reps.join(sizes, F.col("label") == F.col("l")).withColumn("home", F.pmod(F.xxhash64("rep"), F.col("parts")))
+    return rows.select("rep", "label", "embedding", "many", F.array(F.lit(0)).alias("shards"), F.lit(0).alias("shard"), "parts", "home")
+
+
+def _range_search(rows: DataFrame, adjacency: DataFrame | None, least: float) -> DataFrame:
     """(rep, n, u, v): per vector and shard part the copies linked with it, and an edge towards a linked vector that
     keeps the component. A pair counts in the first shard that both are in. A task has the vectors of two parts at
-    most: those that search and those of the graph, which exact compares one by one."""
-    graph = rows.join(adjacency.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r")).drop("r")
+    most: those that search and those of the graph, or without adjacency those that they are compared with one by one."""
+    exact = adjacency is None
+    graph = rows.withColumn("near", F.array().cast("array<long>")) if exact else rows.join(adjacency.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r")).drop("r")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
     searching = graph.withColumn("part", other).withColumn("chunk", F.col("home"))
     searched = graph.withColumn("chunk", other).withColumn("part", F.col("home")).where("chunk <> part")
@@ -311,13 +320,13 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
         recall = truth.where("truth > 0").join(counted, "rep", "left").agg(F.avg(F.coalesce("n", F.lit(0)) / F.col("truth"))).first()[0]
         if recall is None or recall >= TARGET:
             break
-        if overlap >= widest:  # every two vectors share a shard
-            found = materialize(_range_search(rows, adjacency, least, exact=True))
-            counted, recall = found.groupBy("rep").agg(F.sum("n").alias("n")), 1.0
-            break
-        overlap = min(widest, overlap * 2)
         for df in (rows, adjacency, found):
             release(df)
+        if overlap * 4 > widest:  # with half of all shards each, the graphs would cost what all products cost
+            found = materialize(_range_search(_all_rows(reps), None, least))
+            counted, recall = found.groupBy("rep").agg(F.sum("n").alias("n")), 1.0
+            break
+        overlap *= 2
     roots = connected_components(found.select("u", "v")).select(F.col("node").alias("rep"), F.col("component").alias("root"))
     classes = reps.select("rep", "many", "least").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     smallest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
