@@ -104,8 +104,8 @@ def bucketize(df: DataFrame, by: list[str], order: list, chunk: int | None = Non
 
 
 def top_boxes(boxes: DataFrame, k: int = 2, least: float = 0.25, image: str = "stem") -> DataFrame:
-    """The k boxes of highest confidence of each image."""
-    best = Window.partitionBy(image).orderBy(F.desc("conf"), "box_idx")
+    """The k boxes of highest confidence of each image; those that agree in it and in box_idx go by seq, if they have it."""
+    best = Window.partitionBy(image).orderBy(F.desc("conf"), "box_idx", *(c for c in boxes.columns if c == "seq"))
     return boxes.where(F.col("conf") >= least).withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
 
 

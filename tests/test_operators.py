@@ -321,3 +321,11 @@ def test_phash_pairs_shuffle_and_spread_bits(spark):
     near = {(r["a"], r["b"], r["distance"]) for r in out.collect()}
     v = [i * 7919 % 65536 for i in range(400)]
     assert near == {(i, j, (v[i] ^ v[j]).bit_count()) for i in range(400) for j in range(i + 1, 400) if (v[i] ^ v[j]).bit_count() <= 5}
+
+
+def test_boxes_that_tie_keep_their_order(spark):
+    images = spark.createDataFrame([("a", 1000, 500, "right-looking")], "stem string, width int, height int, heading string")
+    rows = [("a", 1, 0.9, 0.0, 0.0, 100.0, 9.0, 5), ("a", 2, 0.8, 400.0, 0.0, 600.0, 9.0, 7), ("a", 2, 0.8, 800.0, 0.0, 900.0, 9.0, 6)]
+    schema = "stem string, box_idx int, conf double, x1 double, y1 double, x2 double, y2 double, seq int"
+    for given in (rows, rows[::-1]):
+        assert K.wheels_from_boxes(images, spark.createDataFrame(given, schema)).first()["front_cx"] == 850.0
