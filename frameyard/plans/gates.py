@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from frameyard.functions.columns import md5_modulo_5, stem, suffix
 from frameyard.operators import candidates, gates, reports, scoring, splits
-from frameyard.plans.bind import BOXES, CANDIDATES, IMAGES, WHEELS, Inputs, duck, query
+from frameyard.plans.bind import BOXES, CANDIDATES, IMAGES, SPARK_WHEELS, WHEELS, Inputs, duck, query
 
 SIZE = """CASE WHEN greatest(width, height) < 150 THEN 'too_small:' || CAST(greatest(width, height) AS VARCHAR) || 'px'
     WHEN greatest(width, height) > 6000 THEN 'too_large:' || CAST(greatest(width, height) AS VARCHAR) || 'px'
@@ -166,7 +166,7 @@ SELECT stem, concat_ws('|', CASE WHEN wb / width < 0.32 THEN 'non_side_view: whe
 CASE WHEN wb / r < 4.0 THEN 'non_side_view: wheel spacing too small relative to wheel size' END,
 CASE WHEN greatest(front_gy, rear_gy) / height < 0.55 THEN 'non_side_view: wheel ground appears too high in frame' END) AS warnings FROM v""")
 def g14(x: Inputs) -> DataFrame:
-    return x.sql(WHEELS).select("stem", F.array_join(gates.side_view_warnings(), "|").alias("warnings"))
+    return x.sql(SPARK_WHEELS).select("stem", F.array_join(gates.side_view_warnings(), "|").alias("warnings"))
 
 
 @query("g15_g17_name_gates", f"""WITH i AS ({duck(IMAGES)}) SELECT stem, regexp_matches(lower(stem || ' ' || path), 'pool/3|99') AS anomalous, CASE WHEN NOT starts_with(stem, '1') THEN 'wrong_prefix' END AS reason FROM i""")

@@ -329,3 +329,11 @@ def test_boxes_that_tie_keep_their_order(spark):
     schema = "stem string, box_idx int, conf double, x1 double, y1 double, x2 double, y2 double, seq int"
     for given in (rows, rows[::-1]):
         assert K.wheels_from_boxes(images, spark.createDataFrame(given, schema)).first()["front_cx"] == 850.0
+
+
+def test_pivot_hashes_its_groups(spark):
+    long = spark.createDataFrame([("a", "roof_apex", 1.0, 2.0, None), ("a", "hood_edge", 3.0, 4.0, 0.5)], "stem string, label string, x double, y double, confidence double")
+    out = K.pivot_keypoints(long)
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    row = out.first()
+    assert tuple(row["roof_apex"]) == (1.0, 2.0, None) and tuple(row["hood_edge"]) == (3.0, 4.0, 0.5) and row["rear_bumper"] is None
