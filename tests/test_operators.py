@@ -337,3 +337,21 @@ def test_pivot_hashes_its_groups(spark):
     assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
     row = out.first()
     assert tuple(row["roof_apex"]) == (1.0, 2.0, None) and tuple(row["hood_edge"]) == (3.0, 4.0, 0.5) and row["rear_bumper"] is None
+
+
+def longest_method(df):
+    """Bytes of the longest method that Spark generates for df; the JVM compiles none over 8000."""
+    made = df._jdf.queryExecution().debug().codegenToSeq()
+    return max(made.apply(i)._3().maxMethodCodeSize() for i in range(made.size()))
+
+
+def test_long_estimate_is_compiled_and_agrees_with_the_wide_one(spark):
+    priors = spark.createDataFrame([("front_bumper", -0.40, -2.0, 0.8), ("body_waist_front", -0.10, -2.0, 0.8), ("body_waist_rear", 0.90, -2.0, None)], "label string, x_norm double, y_norm double, confidence double")
+    rows = [("right", 300.0, 450.0, 301.0, 500.0, 100.0, 451.0, 99.0, 503.0, 0.9, 2, 50.0, 52.0), ("left", 100.0, 450.0, 101.0, 500.0, 300.0, 451.0, 299.0, 560.0, 0.5, 2, 50.0, 52.0),
+            ("lost", 101.0, 450.0, 101.0, 500.0, 100.0, 450.0, 100.0, 500.0, 0.9, 2, 50.0, 50.0), ("null", 300.0, None, 300.0, 500.0, None, 450.0, 100.0, 500.0, None, 2, 50.0, 50.0)]
+    w = spark.createDataFrame(rows, WHEEL)
+    for p in (None, priors):
+        long = K.estimate_keypoints(w, p)
+        assert longest_method(long) < 8000
+        got = {(r["stem"], r["label"]): (r["x"], r["y"], r["confidence"]) for r in long.collect()}
+        assert got == {(r["stem"], n): tuple(r[n]) for r in K.estimate_wide(w, p).collect() for n in P.KEYPOINTS}
