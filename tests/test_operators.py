@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 from frameyard.functions import params as P
-from frameyard.functions.columns import fixed, path_order
+from frameyard.functions.columns import fixed, messages, path_order
 from frameyard.operators import dedup, gates, keypoints as K, reports, scoring, select, splits
 from frameyard.operators.candidates import with_rank
 from frameyard.sources import files, sinks
@@ -355,3 +355,19 @@ def test_long_estimate_is_compiled_and_agrees_with_the_wide_one(spark):
         assert longest_method(long) < 8000
         got = {(r["stem"], r["label"]): (r["x"], r["y"], r["confidence"]) for r in long.collect()}
         assert got == {(r["stem"], n): tuple(r[n]) for r in K.estimate_wide(w, p).collect() for n in P.KEYPOINTS}
+
+
+def test_checks_stand_under_no_higher_order_function(spark):
+    x, w = F.col("x"), F.lit(None).cast("string")
+    df = spark.createDataFrame([(1.0,), (None,)], "x double").withColumn("m", messages((x > 0, "a"), (x < 0, "b"), (x > 0, F.concat(F.lit("c"), x.cast("string"))), (x > 0, w)))
+    assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["m"] for r in df.collect()) == [[], ["a", "c1.0"]]
+
+
+def test_wide_estimate_asks_for_methods_that_are_compiled(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    for given, kept in (("65535", "8000"), ("4000", "4000")):
+        spark.conf.set(limit, given)
+        K.estimate_wide(wheels(spark, 300.0, 100.0))
+        assert spark.conf.get(limit) == kept
+    spark.conf.unset(limit)
