@@ -371,3 +371,8 @@ def test_wide_estimate_asks_for_methods_that_are_compiled(spark):
         K.estimate_wide(wheels(spark, 300.0, 100.0))
         assert spark.conf.get(limit) == kept
     spark.conf.unset(limit)
+
+
+def test_status_is_told_without_a_function_per_warning(spark):
+    checked = K.validate_19(wide(spark, base(90, 310)).withColumn("avg_confidence", F.lit(0.9))).select("status")
+    assert "lambda" not in checked._jdf.queryExecution().optimizedPlan().toString()
