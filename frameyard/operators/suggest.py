@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from frameyard.functions import params as P
 from frameyard.functions.columns import fixed
-from frameyard.functions.durable import _fs_path, materialize, release, settled
+from frameyard.functions.durable import _fs_path, materialize, release
 from frameyard.operators.gates import side_view_warnings
-from frameyard.operators.keypoints import bumper_orientation, estimate_wide, geometry_warnings, quality, wheels_from_boxes
+from frameyard.operators.keypoints import bumper_orientation, geometry_warnings, placed_points, quality, wheels_from_boxes
 
 REPORT = (
     "stem", "success", "wheel_detections", "keypoints_estimated", "avg_confidence", "warnings", "quality_score", "review_priority", "orientation", "out_of_frame_count", "error", "payload",
@@ -24,11 +24,11 @@ def ordered_names(phases: dict[str, tuple[str, ...]], only: str | None = None) -
     return list(dict.fromkeys(named if only else [*named, *P.KEYPOINTS]))
 
 
-def _payload(names: list[str]) -> Column:
+def _payload(names: list[str], points: dict[str, Column]) -> Column:
     """The annotation document of a row: a point per keypoint, with its confidence in the description."""
     shape = lambda n: F.struct(
-        F.lit(n).alias("label"), F.array(F.array(F.col(n)["x"], F.col(n)["y"])).alias("points"), F.lit("point").alias("shape_type"),
-        F.concat(F.lit("confidence="), fixed(F.col(n)["confidence"], 3)).alias("description"),
+        F.lit(n).alias("label"), F.array(F.array(points[n]["x"], points[n]["y"])).alias("points"), F.lit("point").alias("shape_type"),
+        F.concat(F.lit("confidence="), fixed(points[n]["confidence"], 3)).alias("description"),
     )
     document = F.struct(
         F.struct(F.lit(True).alias("agent1_generated")).alias("flags"), F.array(*map(shape, names)).alias("shapes"),
@@ -64,24 +64,29 @@ def suggest(
     ).otherwise(F.array().cast("array<string>"))
     lost = F.when(F.col("source_detections") == 0, F.array(F.lit("fallback_wheels: detector missed wheels, used image-geometry anchors"))).otherwise(F.array().cast("array<string>"))
     against = side_view_warnings(least_ratio) if gate else F.array().cast("array<string>")
-    rows = rows.withColumn("_said", said).withColumn("_against", F.when(F.col("source_detections") > 0, against).otherwise(F.array().cast("array<string>")))
-    rows = rows.withColumn("_state", F.coalesce("_state", F.when(F.size("_against") > 0, "gated")))
+    against = F.when(F.col("source_detections") > 0, against).otherwise(F.array().cast("array<string>"))
 
-    wide = geometry_warnings(estimate_wide(rows, priors)).drop("valid")
-    points = [F.col(n) for n in P.KEYPOINTS]
+    # the points are never columns: what the report needs of them is a few numbers a row, each made in a step of its own
+    rows, at = placed_points(rows, priors)
+    points = list(at.values())
     w, h = F.col("width"), F.col("height")
     outside = reduce(lambda a, b: a + b, (F.when((p["x"] < 0) | (p["x"] > w) | (p["y"] < 0) | (p["y"] > h), 1).otherwise(0) for p in points))
     average = reduce(lambda a, b: a + b, (p["confidence"] for p in points)) / F.lit(float(len(points)))
-    first = [F.col(n)["confidence"] for n in phases.get("phase1", ()) if n in P.KEYPOINTS]
+    first = [at[n]["confidence"] for n in phases.get("phase1", ()) if n in at]
     unsure = F.least(*first) < least_phase1 if len(first) > 1 else first[0] < least_phase1 if first else F.lit(False)
     more = lambda c, text: F.when(c, F.array(F.lit(text))).otherwise(F.array().cast("array<string>"))
-    wide = settled(wide.withColumn("_outside", outside).withColumn("_average", average))
+    wide = geometry_warnings(rows, points=at).drop("valid").select(
+        "*", outside.alias("_outside"), average.alias("_average"), unsure.alias("_unsure"), bumper_orientation(at["front_bumper"], at["rear_bumper"]).alias("_bumpers"),
+        said.alias("_said"), against.alias("_against"),
+    )
     done = F.concat(
-        "_said", lost, "warnings", more(unsure, "phase1_low_confidence: one or more Phase 1 keypoints below threshold"),
+        "_said", lost, "warnings", more(F.col("_unsure"), "phase1_low_confidence: one or more Phase 1 keypoints below threshold"),
         more(F.col("_outside") > 2, "non_90_pov: excessive out-of-frame keypoints suggest non-lateral view/crop"),
     )
-    wide = settled(wide.withColumn("_done", done))
-    score, priority = quality("_average", "_done", "source_detections", "_outside")
+    wide = wide.withColumns({"_done": done, "_state": F.coalesce("_state", F.when(F.size("_against") > 0, "gated"))})
+    parts = ("_average", "_done", "source_detections", "_outside")
+    wide = wide.withColumn("_score", quality(*parts)[0])
+    score, priority = quality(*parts, scored="_score")
     names = ordered_names(phases, phase_only)
     ok, gated, old = F.col("_state").isNull(), F.col("_state") == "gated", F.col("_state") == "exists"
     none = F.array().cast("array<string>")
@@ -90,9 +95,9 @@ def suggest(
         F.when(ok, F.col("_average")).when(gated, F.col("confidence")).otherwise(0.0).alias("avg_confidence"),
         F.when(ok, F.col("_done")).when(gated, F.concat("_said", "_against")).when(old, F.array(F.lit("File already exists"))).otherwise(none).alias("warnings"),
         F.when(ok, score).otherwise(0.0).alias("quality_score"), F.when(ok, priority).otherwise("REVIEW_HIGH").alias("review_priority"),
-        F.when(ok, F.coalesce(bumper_orientation(), F.lit("unknown"))).when(gated, F.coalesce("_predicted", F.lit("unknown"))).otherwise("unknown").alias("orientation"),
+        F.when(ok, F.coalesce("_bumpers", F.lit("unknown"))).when(gated, F.coalesce("_predicted", F.lit("unknown"))).otherwise("unknown").alias("orientation"),
         F.when(ok, F.col("_outside")).otherwise(0).alias("out_of_frame_count"),
-        F.when(gated, "rejected_non_side_view").when(F.col("_state") == "unreadable", "Failed to read image").alias("error"), F.when(ok, _payload(names)).alias("payload"),
+        F.when(gated, "rejected_non_side_view").when(F.col("_state") == "unreadable", "Failed to read image").alias("error"), F.when(ok, _payload(names, at)).alias("payload"),
     )
 
 

@@ -8,6 +8,7 @@ import pytest
 from frameyard.functions import params as P
 from frameyard.functions.durable import shared_dir
 from frameyard.operators import cascade, suggest
+from frameyard.operators.keypoints import wheels_from_boxes
 from pyspark.sql import functions as F
 
 
@@ -109,3 +110,21 @@ def test_settle_looks_urls_up_first(spark):
     decided = spark.createDataFrame([(1, "accepted"), (2, "url_seen"), (3, "rejected_heuristic"), (4, "rejected_quota_full"), (5, "not_processed"), (6, "rejected_dedup_clip")], "rank long, outcome string")
     got = [(r["outcome"], r["reason_detail"]) for r in cascade.settle(gated, decided).orderBy("rank").collect()]
     assert got == [("accepted", None), ("rejected_dedup_clip", "url_seen"), ("rejected_angle", "x"), ("rejected_quota_full", "b"), ("not_processed", None), ("rejected_dedup_clip", "a")]
+
+
+def test_suggest_carries_no_points_and_builds_no_groups(spark):
+    plan = _run(spark).drop("payload")._jdf.queryExecution()
+    steps = plan.optimizedPlan().toString()
+    assert "explode" not in steps and not any(f" AS {n}#" in steps for n in P.KEYPOINTS)  # a struct a point was copied at each step
+    assert "SortAggregate" not in plan.sparkPlan().toString()
+
+
+def test_wheels_of_odd_boxes(spark):
+    images = spark.createDataFrame([(s, 1000, 700, h) for s in ("null", "tie", "one", "turned") for h in ("left-looking",)] + [("none", 1000, 700, None)], "stem string, width int, height int, heading string")
+    boxes = [("null", 0, 0.9, 10.0, 0.0, 30.0, 60.0), ("null", 1, 0.8, None, 0.0, 90.0, 50.0), ("tie", 0, 0.5, 10.0, 0.0, 30.0, 60.0), ("tie", 1, 0.9, 10.0, 0.0, 30.0, 40.0), ("tie", 2, 0.1, 0.0, 0.0, 1.0, 1.0),
+             ("one", 0, 0.9, 10.0, 0.0, 30.0, 60.0), ("turned", 0, 0.9, 70.0, 0.0, 90.0, 60.0), ("turned", 1, 0.9, 10.0, 0.0, 30.0, 50.0), (None, 0, 0.9, 1.0, 0.0, 3.0, 6.0), (None, 1, 0.9, 1.0, 0.0, 3.0, 6.0)]
+    got = {r["stem"]: r for r in wheels_from_boxes(images, spark.createDataFrame(boxes, BOXES)).collect()}
+    # front is the left box here: one without a centre comes first, and of equal centres the surer box does
+    assert {s: (r["front_cx"], r["front_gy"], r["rear_cx"], r["rear_gy"], r["source_detections"]) for s, r in got.items() if s != "none"} == {
+        "null": (None, 50.0, 20.0, 60.0, 2), "tie": (20.0, 40.0, 20.0, 60.0, 2), "one": (300.0, 588.0, 720.0, 588.0, 0), "turned": (20.0, 50.0, 80.0, 60.0, 2)}
+    assert got["tie"]["confidence"] == 0.7 and got["tie"]["front_radius_px"] == 20.0 and got["none"]["front_cx"] == 720.0
