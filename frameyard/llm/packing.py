@@ -8,6 +8,7 @@ are opened, their pieces are dealt anew over fewer partitions, and packed again.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -27,6 +28,8 @@ LEAST_PARTITION = 2_000
 CACHE = 150_000
 #: Latin letters, then ASCII marks other than the apostrophe: the two parts are never one token.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įıĲ-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+#: Those marks as bytes: ASCII chunks, most of all, are told apart without the pattern.
+MARKS = bytes(b for b in range(33, 127) if b != 39 and not chr(b).isalnum())
 _SHARED: dict[str, ChunkEncoder] = {}
 
 
@@ -59,40 +62,54 @@ class ChunkEncoder:
         return _SHARED[path]
 
     def _library(self, parts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(parts, add_special_tokens=False)]
+        # one by one: a batch wakes the library's threads, which cost a task more than the few parts are worth
+        return [np.asarray(self.tok.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in parts]
 
     def _plain(self, part: str) -> bytes:
         """Ids of lower-case Latin letters or of ASCII marks: one piece before BPE, so that the model itself is asked."""
         spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
-        return np.asarray([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
-
-    def _fill(self, chunks: set[bytes]) -> None:
-        known = self.old_chunks.keys() & chunks
-        self.chunks.update((c, self.old_chunks[c]) for c in known)
-        texts = {c: c.decode("utf-8", "replace") for c in chunks - known}
-        plain = {c: (m[1].lower(), m[2]) for c, t in texts.items() if (m := PLAIN.fullmatch(t))}
-        for p in {p for ps in plain.values() for p in ps if p and p not in self.words}:
-            self.words[p] = self.old_words.get(p) or self._plain(p)
-        for c, (word, marks) in plain.items():
-            self.chunks[c] = self.words[word] + (self.words[marks] if marks else b"")
-        rest = [c for c in texts if c not in plain]
-        self.chunks.update(zip(rest, self._library([texts[c] for c in rest]), strict=True))
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _part(self, part: str) -> bytes:
+        found = self.words.get(part)
+        if found is None:
+            found = self.words[part] = self.old_words.get(part) or self._plain(part)
+        return found
+
+    def _fill(self, new: set[bytes]) -> None:
+        chunks, old, part, rest = self.chunks, self.old_chunks, self._part, []
+        for c in new:
+            if (known := old.get(c)) is not None:
+                chunks[c] = known
+                continue
+            word = c.rstrip(MARKS)
+            if word.isalpha():  # of bytes: ASCII letters only
+                ids = part(word.lower().decode())
+                chunks[c] = ids + part(c[len(word) :].decode()) if len(word) < len(c) else ids
+            elif not c.isascii() and (m := PLAIN.fullmatch(c.decode("utf-8", "replace"))):
+                chunks[c] = part(m[1].lower()) + (part(m[2]) if m[2] else b"")
+            else:
+                rest.append(c)
+        if rest:
+            chunks.update(zip(rest, self._library([c.decode("utf-8", "replace") for c in rest]), strict=True))
         if len(self.words) > self.cache:
             self.words, self.old_words = {}, self.words
 
     def ids(self, raw: bytes) -> bytes:
+        if len(self.chunks) > self.cache:  # those still in use come back from the old ones
+            self.chunks, self.old_chunks = {}, self.chunks
         chunks = raw.split()
-        try:
-            return b"".join(map(self.chunks.__getitem__, chunks))
-        except KeyError:
-            if len(self.chunks) > self.cache:  # those still in use come back from the old ones
-                self.chunks, self.old_chunks = {}, self.chunks
-            new = set(chunks).difference(self.chunks)
-            if len(new) > self.cache:  # a very long text of new words: in parts
+        found = list(map(self.chunks.get, chunks))
+        if None in found:
+            new = {c for c, ids in zip(chunks, found) if ids is None}
+            if len(new) > self.cache and len(chunks) > 1:  # a very long text of new words: in parts
                 half = len(chunks) // 2
                 return b"".join(self.ids(b" ".join(c)) for c in (chunks[:half], chunks[half:]))
             self._fill(new)
-            return b"".join(map(self.chunks.__getitem__, chunks))
+            get = self.chunks.__getitem__
+            found = [get(c) if ids is None else ids for c, ids in zip(chunks, found)]
+        return b"".join(found)
 
 
 def token_pieces(docs: DataFrame, capacity: int, path: str, end_id: int, id_col: str, text_col: str, cache: int = CACHE) -> DataFrame:

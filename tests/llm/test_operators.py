@@ -7,7 +7,7 @@ from frameyard.llm.decontam import decontaminate
 from frameyard.llm.embedding_dedup import near_duplicates
 from frameyard.llm.jaccard_join import jaccard_join
 from frameyard.llm.license_scan import NOTICES, license_scan
-from frameyard.llm.packing import best_fit, lower_bound, pack_documents, vocabulary_path
+from frameyard.llm.packing import MARKS, PLAIN, ChunkEncoder, best_fit, lower_bound, pack_documents, vocabulary_path
 from frameyard.llm.secret_scan import RULES, mask_secrets, secret_scan, trigram_query
 from frameyard.llm.suffix_dedup import repeated_starts, suffix_dedup, suffix_order
 from frameyard.llm.token_counts import PrefixCounter, prefix_table, token_counts
@@ -427,3 +427,21 @@ def test_connected_components(spark):
     got = {r["node"]: r["component"] for r in common.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     want = brute.components({x for e in edges for x in e}, edges)
     assert got == {x: c for x, c in want.items() if x != 500 and any(x in e and e[0] != e[1] for e in edges)}
+
+
+def test_chunks_told_apart_without_the_pattern_have_the_library_s_ids():
+    path = vocabulary_path()
+    encoder = ChunkEncoder(path, cache=40)
+    ends = [chr(b) for b in range(33, 127)] + ["'s", ".'", "..)", "é", "é,", "ŉ", "1", "中", "�", ""]
+    texts = [f"{w}{e} {e}{w}" for w in ("Word", "x", "Äpfel", "don't") for e in ends] + ["", " \t\n", "\x0b\x1c a\x1cb \x85c\xa0d"]
+    whole = encoder.tok
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+    class OneByOne:
+        """The library without batches: those wake its threads."""
+
+        encode = staticmethod(whole.encode)
+
+    encoder.tok = OneByOne
+    assert [np.frombuffer(encoder.ids(t.encode()), "<u4").tolist() for t in texts] == want
+    assert bytes(b for b in range(33, 127) if (m := PLAIN.fullmatch("a" + chr(b))) and m[2]) == MARKS
