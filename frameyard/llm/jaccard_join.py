@@ -31,8 +31,9 @@ CELLS, FREQUENT = 1 << 21, 16
 SPARE = 10
 #: First n-grams that a worker hands on at a time, and sets that it remembers.
 EMIT, REMEMBER = 200_000, 500_000
-#: Up to so many rows under an n-gram are paired.
-FEW = 8
+#: Up to so many rows under an n-gram are paired; pairs are counted over the other n-grams too where this joins at most so
+#: many times the rows that there are.
+FEW, COUNTED = 8, 2
 #: Up to so many blocks of a candidate group are laid against each other as they are.
 APART = 16
 #: The room of a block, in units of which each set takes some.
@@ -205,13 +206,31 @@ def _multiply(rows: DataFrame, keys: list[str], n_gram: int, percent: int, sided
     return rows.groupBy(*keys).applyInPandas(run, "u long, v long")
 
 
+def _rarest(rows: DataFrame) -> DataFrame:
+    """Of the rows (h, k, need, m, ...) of each set those with the least m, all but need - 1. Two sets that have at least as
+    many n-grams in common as either needs still share the rarest of these: the others come after it in both."""
+    own, place = Window.partitionBy("k"), Window.partitionBy("k").orderBy("m", "h")
+    return rows.withColumn("own", F.count("*").over(own)).withColumn("place", F.row_number().over(place)).where("place <= own - need + 1").drop("own", "place")
+
+
 def _candidates(shared: DataFrame) -> DataFrame:
-    """Edges (u, v) between sets that may link, or are bound to share a group: under n-grams of few rows, the pairs that
-    meet as often as linked sets do; under the others, each row and the least."""
-    few = shared.where(F.col("m") <= FEW)
+    """Edges (u, v) between sets that may link, or are bound to share a group: the pairs that meet as often as linked sets
+    do, counted under n-grams of few rows and then, for those that may still come to it, under the others; and, for pairs
+    that meet under the others only, each row and the least under the rarest of these that a set has."""
+    few, many = shared.where(F.col("m") <= FEW), shared.where(F.col("m") > FEW)
     a, b = (few.select("h", F.col("k").alias(k), F.col("need").alias(f"need_{k}")) for k in "uv")
     pairs = a.join(b, "h").where("u > v").groupBy("u", "v").agg(F.count("*").alias("met"), F.max(F.greatest("need_u", "need_v")).alias("need"))
-    return pairs.where("met >= need").select("u", "v").unionByName(shared.where((F.col("m") > FEW) & (F.col("k") != F.col("v"))).select(F.col("k").alias("u"), "v"))
+    pairs = materialize(pairs)
+    held = materialize(many.groupBy("k").agg(F.count("*").alias("many")))
+    open_ = pairs.where("met < need")
+    for k in "uv":
+        open_ = open_.join(held.select(F.col("k").alias(k), F.col("many").alias(f"many_{k}")), k)
+    open_ = materialize(open_.where("met + least(many_u, many_v) >= need").select("u", "v", "met", "need", "many_u"))
+    if (open_.agg(F.sum("many_u")).first()[0] or 0) <= COUNTED * shared.count():
+        under = open_.join(many.select("h", F.col("k").alias("u")), "u").join(many.select("h", F.col("k").alias("v")), ["h", "v"])
+        open_ = under.groupBy("u", "v", "met", "need").agg(F.count("*").alias("more")).where("met + more >= need")
+    tied = _rarest(many).select("k", F.min("k").over(Window.partitionBy("h")).alias("v")).where("k <> v")
+    return pairs.where("met >= need").select("u", "v").unionByName(open_.select("u", "v")).unionByName(tied.select(F.col("k").alias("u"), "v"))
 
 
 def _restless(big: DataFrame, shared: DataFrame) -> DataFrame:
@@ -226,8 +245,12 @@ def _restless(big: DataFrame, shared: DataFrame) -> DataFrame:
 def _narrowed(big: DataFrame, shared: DataFrame) -> DataFrame:
     """big, rows (comp, k, n, at, label) of candidate groups of more than APART blocks, with the groups that were brought
     together by chains of n-grams taken apart again: into the rows under each n-gram, where that makes fewer pairs.
-    N-grams under which all rows are of one label go; of n-grams with the same rows one stays."""
-    under = materialize(shared.select("h", "k").join(big.select(F.col("k").alias("bk"), "comp", "label"), F.col("k") == F.col("bk")).drop("bk"))
+    N-grams under which all rows are of one label go, then all but the rarest of each set; of n-grams with the same rows one
+    stays."""
+    under = shared.select("h", "k", "need", "m").join(big.select(F.col("k").alias("bk"), "comp", "label"), F.col("k") == F.col("bk")).drop("bk")
+    each = Window.partitionBy("comp", "h")
+    under = under.withColumn("lo", F.min("label").over(each)).withColumn("hi", F.max("label").over(each)).where("lo <> hi")
+    under = materialize(_rarest(under).select("h", "k", "comp", "label"))
     mark = F.xxhash64("k")
     groups = under.groupBy("comp", "h").agg(F.count("*").alias("m"), F.sum(mark % (1 << 31)).alias("s"), F.bit_xor(mark).alias("x"), F.min("label").alias("lo"), F.max("label").alias("hi"))
     groups = materialize(groups.where("lo <> hi").groupBy("comp", "m", "s", "x").agg(F.min("h").alias("g")))
@@ -264,7 +287,7 @@ def _by_size(sets: DataFrame, keys: list[str], rows: int, grams: int) -> DataFra
 
 def _links(members: DataFrame, texts: DataFrame, shared: DataFrame, n_gram: int, percent: int) -> DataFrame:
     """All forests of links. members: (k, n, at, comp), materialized, one row per set in a candidate
-    group; at: the (doc_id, t) of one of its texts. shared: (h, k), the first n-grams that different sets have."""
+    group; at: the (doc_id, t) of one of its texts. shared: (h, k, need, m), the first n-grams that different sets have."""
     groups = members.groupBy("comp").agg(F.count("*").alias("m"), F.ceil(F.sum(_room(BLOCK_ROWS, BLOCK_GRAMS)) / ROOM).alias("blocks"))
     placed = members.join(groups, "comp")
     many = F.col("blocks") > 1
