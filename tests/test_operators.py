@@ -187,6 +187,30 @@ def test_rebuild(spark):
     assert one(K.validate_7(again))["status"] == "VALID"
 
 
+def test_rebuild_within_the_row(spark):
+    """The wheel points of odd documents are those of the long form, and nothing is shuffled for them."""
+    shape = lambda n, at, **more: {"label": n, "points": [at], **more}
+    a, b, c, d = P.WHEELS
+    shapes = {
+        "plain": [shape(n, [i, i + 1], description=f"Confidence = .{i + 1}") for i, n in enumerate(P.WHEELS)],
+        "copies": ["stray", None, 3, shape(a, [1, 2, 3]), shape(f" {a} ", [4, 5]), shape(a, [6, 7]), shape(b, [1]), shape(b, ["8", "x"]), shape(b, ["8", "9.5"])],
+        "thirds": [shape(a, [1, 2, None]), shape(b, [1, None]), shape(c, []), {"label": c}, {"label": None, "points": [[1, 2]]}, shape(d, [1, True])],
+        "flags": [shape(a, [1, 2], flags={"score": 0.5}), shape(b, [1, 2], flags={"confidence": "NaN"}), shape(c, ["NaN", 2], description="confidence=x", flags={"avg_confidence": "0.25"}), shape(d, [1, 2])],
+        "fields": {"z": shape(a, [1, 2]), "y": shape(a, [3, 4]), "x": 5}, "text": "a", "none": None, "empty": [],
+    }
+    rows = [(k, json.dumps({"shapes": v, "imageWidth": 900, "imageHeight": 900})) for k, v in shapes.items()]
+    rows += [(None, rows[0][1]), ("list", " [1]"), ("bare", "{}"), ("space", "\n\t " + rows[0][1]), ("broken", "{"), ("null", None), ("three", "3"), ("word", '"{"')]
+    docs = spark.createDataFrame(rows, "stem string, raw string")
+    long = {r["stem"]: [r[n] for n in P.WHEELS] for r in K.pivot_keypoints(K.extract_keypoints(docs, "exact")).collect()}
+    got = [(r["stem"], [r[n] for n in P.WHEELS]) for r in K._wheel_points(docs.selectExpr("stem", "try_parse_json(raw) AS v")).collect()]
+    assert len(got) == len(rows) and sorted(map(repr, got)) == sorted(repr((k, long.get(k, [None] * 4) if k else [None] * 4)) for k, _ in rows)
+    out = K.rebuild_7(docs)
+    reasons = {r["stem"]: r["reason"].split(":")[0] for r in out.collect()}
+    assert {k for k, v in reasons.items() if v == "malformed_json"} == {"list", "broken", "null", "three", "word"} and reasons["bare"] == reasons[None] == "missing_wheels"
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r["reason"] for r in K.rebuild_7(docs.where("stem = 'plain'"), existing=docs, allow_outside=True).collect()} == {"output_exists"}
+
+
 def test_yolo_pose_and_flip(spark):
     pts = {"ground_ref": (0, 0, 1), "front_wheel_center": (150, 60, 1), "front_wheel_ground": (160, 80, 1), "rear_wheel_center": (50, 60, 1), "rear_wheel_ground": (40, 90, 1)}
     order = ("ground_ref", "front_wheel_center", "front_wheel_ground", "rear_wheel_center", "rear_wheel_ground")
